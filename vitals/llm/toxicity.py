@@ -1,6 +1,7 @@
 """Toxicity by a counterfactual-regularised classifier.
 
-A logistic regression over the distinct words of a text. For each labelled sentence with an identity term, the term is
+A logistic regression over the distinct words of a text and the beginnings of its longer words, so that inflected and
+compounded forms count. For each labelled sentence with an identity term, the term is
 swapped for others of its kind and for a neutral word; the squared change of the sentence's score is penalised, so a mere
 mention of a group moves no score. Copies of one text share one unit of weight, so a labelling slip on a much copied text
 teaches nothing.
@@ -17,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytewords import alnum_words, mixed, slices, word_hash
+from .bytewords import IS_ALNUM, LOWER, alnum_words, mixed, runs, slices, span_hashes, word_hash
 
 #: Labelled rows that the classifier is fitted on, at most: those of the smallest hash of their doc_id.
-SAMPLE = 8000
+SAMPLE = 6000
+#: Bytes of the beginnings of words that are features besides whole words.
+PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.7
 #: Identity terms by kind.
 IDENTITY = (
@@ -39,6 +42,17 @@ IDENTITY = (
 NEUTRAL = "people"
 
 
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and of the beginnings of longer words of a slice, and the row of each."""
+    low = LOWER[data]
+    starts, ends, first = runs(IS_ALNUM[low], offsets)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    longer = [np.flatnonzero(ends - starts > k) for k in PREFIXES]
+    heads = np.concatenate([starts, *[starts[x] for x in longer]])
+    tails = np.concatenate([ends, *[starts[x] + k for x, k in zip(longer, PREFIXES, strict=True)]])
+    return span_hashes(low, heads, tails), np.concatenate([row, *[row[x] for x in longer]])
+
+
 @dataclass(frozen=True)
 class Model:
     """``words``: sorted hashes; ``weights`` of them."""
@@ -49,13 +63,12 @@ class Model:
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The score of each row of a slice."""
-        hashes, _, _, first = alnum_words(data, offsets)
+        hashes, row = _features(data, offsets)
         total = np.full(len(offsets) - 1, self.bias)
         if len(self.words) and len(hashes):
             at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
             found = np.flatnonzero(self.words[at] == hashes)
-            row = np.searchsorted(first, found, "right") - 1
-            pairs = np.unique(row * len(self.words) + at[found])
+            pairs = np.unique(row[found] * len(self.words) + at[found])
             total += np.bincount(pairs // len(self.words), self.weights[pairs % len(self.words)], len(total))
         return 1 / (1 + np.exp(-total))
 
@@ -71,13 +84,16 @@ def _swaps() -> dict[int, list[int]]:
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Label, hashes of distinct words, four least hashes of 3-word runs, and (term, swapped term) of each sentence that has one."""
+    """Label, distinct features, four least hashes of 3-word runs, and (term, swapped term) of each sentence that has one."""
     swaps = _swaps()
     terms = np.array(sorted(swaps), np.uint64)
     for batch in batches:
         toxic, out = batch.column(1).to_pylist(), []
         for at, data, offsets in slices(batch.column(0)):
             hashes, starts, _, first = alnum_words(data, offsets)
+            features, of = _features(data, offsets)
+            order = np.argsort(of, kind="stable")
+            features, edges = features[order], np.searchsorted(of[order], np.arange(len(offsets)))
             sentence = np.cumsum(np.isin(data, np.frombuffer(b".!?\n", np.uint8)))
             for i in range(len(offsets) - 1):
                 words = hashes[first[i] : first[i + 1]]
@@ -87,7 +103,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for j in np.flatnonzero(np.isin(words, terms)).tolist():
                     same = words[sentence[starts[first[i] : first[i + 1]]] == sentence[starts[first[i] + j]]]
                     pairs += [(int(words[j]), x) for x in swaps[int(words[j])] if not (same == np.uint64(x)).any()]
-                out.append((toxic[at + i], np.unique(words).tobytes(), np.array(least, np.uint64).tobytes(), np.array(pairs, np.uint64).tobytes()))
+                out.append((toxic[at + i], np.unique(features[edges[i] : edges[i + 1]]).tobytes(), np.array(least, np.uint64).tobytes(), np.array(pairs, np.uint64).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), *[pa.array([x[k] for x in out], pa.binary()) for k in (1, 2, 3)]], names=["toxic", "words", "least", "pairs"])
 
 
