@@ -49,7 +49,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
-def slices(texts: pa.Array, rows: int = 2000, size: int = 2_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, rows: int = 2000, size: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) for runs of rows of about ``size`` bytes, a longer text alone; nulls are empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     n = len(texts)

@@ -6,9 +6,10 @@ points inside, and only pairs that pass are verified on the sets.
 
 One tree over a corpus can't prune: random texts of n words differ by about sqrt(n x groups) and linked ones by up to
 0.16 n, so every leaf would meet a constant share of the others. So trees are built by cell. Each set has a short list of
-cells, its first n-grams in an order that puts the corpus' commonest last; sets that reach the threshold share a cell
-whatever that order is, so nothing is lost. A set is first compared with the smallest member of its cells; cells whose
-members that has brought together need no tree.
+cells, its first n-grams in an order that puts the corpus' commonest last. Two sets that reach the threshold share a share
+of their cells whatever that order is (``needed``), so sets that share fewer with all others together go, and nothing is
+lost. A set is first compared with the smallest member of its cells; cells whose members that has brought together need no
+tree.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ PERCENT = 85
 GROUPS = 64
 #: The commonest n-grams that go last in the order of cells, at most; which these are never changes the result.
 COMMON = 200_000
+#: Percent of a set's size that two linked sets have as common cells; the list of cells is longer by as much.
+MARGIN = 5
 #: Members of a cell that one task joins at once; larger cells are joined block by block.
 BLOCK = 2048
 FANOUT = 16
@@ -58,7 +61,21 @@ def least_overlap(n_a, n_b, percent: int):
     return -(-percent * (n_a + n_b) // (100 + percent))
 
 
-def _common(texts: DataFrame, words: int, seed: int, most: int) -> np.ndarray:
+def n_cells(n: int, percent: int) -> int:
+    """The length of the list of cells of a set of size n."""
+    return n - -(-percent * n // 100) + max(1, -(-MARGIN * n // 100))
+
+
+def needed(n, percent: int):
+    """Cells that a set of size n shares with each set that it links to, at least: MARGIN percent of the smaller of the two.
+
+    Sets that link have percent % of the larger in common. Of these, in the order of cells, the first k stand in a set's
+    list if it holds n - percent % of n + k of its n-grams.
+    """
+    return -(-MARGIN * -(-percent * n // 100) // 100)
+
+
+def _common(docs: DataFrame, words: int, seed: int, most: int) -> np.ndarray:
     """The n-grams that occur most often, from counts over all texts, at most ``most``. A task sends on what it meets often."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,44 +94,54 @@ def _common(texts: DataFrame, words: int, seed: int, most: int) -> np.ndarray:
         if parts:
             yield counted(parts)
 
-    rows = texts.mapInArrow(task, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 32")
+    rows = docs.select("text").mapInArrow(task, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 32")
     rows = rows.orderBy(F.desc("n"), "gram").limit(most).select("gram").collect()
     return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
 
 
-def _sets(docs: DataFrame, words: int, percent: int, seed: int, common: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, key, digest, n, cells) of each row: key and digest name the set, cells are its first n-grams."""
+def _digest(grams: np.ndarray) -> bytes:
+    return hashlib.blake2b(grams.tobytes(), digest_size=24).digest()
 
-    def first(grams: np.ndarray) -> np.ndarray:
-        n = len(grams)
-        size = n - (-(-percent * n // 100)) + 1 if n else 0
-        if not len(common) or not n:
-            return grams[:size]
-        at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
-        often = common[at] == grams
-        return np.concatenate([grams[~often], grams[often]])[:size]
+
+def _key(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(doc_id, text_hash, key, digest, n) of each row: key and digest name the set."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, offsets in slices(batch.column(2)):
                 sets = ngram_sets(data, offsets, words, seed)
-                digests = [hashlib.blake2b(s.tobytes(), digest_size=24).digest() for s in sets]
-                cells = [first(s).view(np.int64) for s in sets]
-                ends = np.cumsum([0, *map(len, cells)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, len(sets)),
-                        batch.column(1).slice(at, len(sets)),
-                        pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
-                        pa.array([d[8:] for d in digests], pa.binary()),
-                        pa.array(list(map(len, sets)), pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(cells))),
-                    ],
-                    names=["doc_id", "text_hash", "key", "digest", "n", "cells"],
-                )
+                digests = list(map(_digest, sets))
+                new = [pa.array(list(map(_key, digests)), pa.int64()), pa.array([d[8:] for d in digests], pa.binary()), pa.array(list(map(len, sets)), pa.int64())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), batch.column(1).slice(at, len(sets)), *new], names=["doc_id", "text_hash", "key", "digest", "n"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(task, "doc_id long, text_hash long, key long, digest binary, n long, cells array<long>")
+    return rows.mapInArrow(task, "doc_id long, text_hash long, key long, digest binary, n long")
+
+
+def _cells(texts: DataFrame, words: int, percent: int, seed: int, common: np.ndarray) -> DataFrame:
+    """(cell, key): the list of cells of each row's set."""
+
+    def first(grams: np.ndarray) -> np.ndarray:
+        if len(common) and len(grams):
+            at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+            often = common[at] == grams
+            grams = np.concatenate([grams[~often], grams[often]])
+        return grams[: n_cells(len(grams), percent)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in slices(batch.column(0)):
+                sets = {_key(_digest(s)): s for s in ngram_sets(data, offsets, words, seed) if len(s)}
+                cells = [first(s).view(np.int64) for s in sets.values()]
+                if cells:
+                    keys = np.repeat(np.array(list(sets), np.int64), list(map(len, cells)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(keys)], names=["cell", "key"])
+
+    return texts.select("text").mapInArrow(task, "cell long, key long")
 
 
 def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,10 +173,19 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         cell, last, leader = end[0], end[1], firsts[-1]
 
 
+def _slots(key: np.ndarray, doc_id: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(key.astype(np.int64).view(np.uint64) + mixed(doc_id.astype(np.int64).view(np.uint64))) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of 2^bits with a bit for each key's low bits: a filter of fixed size that lets all keys pass."""
+    """A bitmap of 2^bits with a bit for each (key, doc_id): a filter of fixed size that lets all of these pass, and few others."""
     page = 15
 
+    def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, doc = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slots(key, doc, bits)))], names=["slot"])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -158,7 +194,7 @@ def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
                 pages.setdefault(p, np.zeros(1 << page, bool))[slot[slot >> page == p] & ((1 << page) - 1)] = True
         yield pa.RecordBatch.from_arrays([pa.array(list(pages), pa.int64()), pa.array([np.packbits(x).tobytes() for x in pages.values()], pa.binary())], names=["page", "bits"])
 
-    slots = keys.select(F.pmod("key", F.lit(1 << bits)).alias("slot")).distinct()
+    slots = keys.select("key", F.coalesce("least_id", F.lit(-1)).alias("doc")).mapInArrow(slot, "slot long").distinct()
     slots = slots.repartition(F.shiftright("slot", page)).mapInArrow(task, "page long, bits binary")
     out = np.zeros((1 << (bits - page), 1 << (page - 3)), np.uint8)
     for row in slots.collect():  # pages differ between tasks: at most 2^bits bits in all
@@ -167,22 +203,26 @@ def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
 
 
 def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, bits: int = 24) -> DataFrame:
-    """(key, n, point, grams) of each set of ``keys``, from the texts. Others that pass the filter may be among them."""
+    """(key, n, point, grams) of each set of ``keys``, from the text of its smallest doc_id, without moving texts.
+
+    Others that pass the filter may be among them, and repeated rows are there as often; neither changes a link.
+    """
     passing = _filter_bits(keys, bits)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in slices(batch.column(0)):
-                out = {}
-                for s in ngram_sets(data, offsets, words, seed):
-                    key = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=24).digest()[:8], "little", signed=True)
-                    slot = key & ((1 << bits) - 1)
-                    if len(s) and key not in out and passing[slot >> 3] >> (7 - (slot & 7)) & 1:
-                        out[key] = (len(s), np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes(), s.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), *[pa.array([x[i] for x in out.values()], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))]], names=["key", "n", "point", "grams"])
+            doc_id = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
+            for at, data, offsets in slices(batch.column(1)):
+                sets = ngram_sets(data, offsets, words, seed)
+                keys = np.array([_key(_digest(s)) for s in sets], np.int64)
+                slot = _slots(keys, doc_id[at : at + len(sets)], bits)
+                passed = (passing[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).tolist()
+                out = {k: s for k, s, good in zip(keys.tolist(), sets, passed, strict=True) if good and len(s)}
+                points = [np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() for s in out.values()]
+                columns = [pa.array(list(out), pa.int64()), pa.array(list(map(len, out.values())), pa.int64()), pa.array(points, pa.binary()), pa.array([s.tobytes() for s in out.values()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "point", "grams"])
 
-    rows = docs.select("text").mapInArrow(task, "key long, n long, point binary, grams binary")
-    return rows.dropDuplicates(["key"])
+    return docs.select("doc_id", "text").mapInArrow(task, "key long, n long, point binary, grams binary")
 
 
 def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -208,7 +248,7 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     side = lambda x, *columns: members.select(F.col("key").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
     found = pairs.join(side("a", "n", "point"), "a").join(side("b", "n", "point"), "b").select("a", "b", "n_a", "n_b", "point_a", "point_b")
-    found = written(found.mapInArrow(bounded, "a long, b long"), "bounded")
+    found = written(found.mapInArrow(bounded, "a long, b long").distinct(), "bounded")
     found = found.join(side("a", "grams"), "a").join(side("b", "grams"), "b").select("a", "b", "grams_a", "grams_b")
     return written(found.mapInArrow(exact, "a long, b long"), "links")
 
@@ -251,52 +291,68 @@ def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame
     rows = cells.join(mixed_cells.select("cell", blocks.alias("blocks")), "cell").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("cell", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "key", "component")
-    rows = rows.join(members.select("key", "n", "point"), "key").select("cell", "x", "y", "own", "key", "component", "n", "point")
+    points = members.groupBy("key").agg(F.min("n").alias("n"), F.min("point").alias("point"))
+    rows = rows.join(points, "key").select("cell", "x", "y", "own", "key", "component", "n", "point")
     rows = rows.repartition(shuffle_partitions(cells.sparkSession), "cell", "x", "y").sortWithinPartitions("cell", "x", "y", "key")
 
-    def joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        own, key, component, n = (table.column(c).to_numpy() for c in ("own", "key", "component", "n"))
-        points = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
-        two = table.column("x")[0].as_py() != table.column("y")[0].as_py()
-        tree, a, b = _Tree(n, points), [], []
-        for i in range(len(key)):
-            found = tree.search(n[i], points[i], percent)
-            found = found[(key[found] > key[i]) & (component[found] != component[i]) & ((own[found] != own[i]) | (not two))]
-            a.append(np.full(len(found), key[i]))
-            b.append(key[found])
-        return np.concatenate(a), np.concatenate(b)
+    def allowed(a: np.ndarray, b: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
+        """Which of the pairs of rows a, b may link: other components, near sizes, enough overlap by the bound."""
+        _, x, y, own, key, component, n, points = cols
+        good = (key[a] != key[b]) & (component[a] != component[b]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & ((own[a] != own[b]) | (x[a] == y[a]))
+        at = np.flatnonzero(good)
+        for s in range(0, len(at), 20_000):
+            p = at[s : s + 20_000]
+            good[p] = np.minimum(points[a[p]], points[b[p]]).sum(1) >= least_overlap(n[a[p]], n[b[p]], percent)
+        return good
+
+    def joined(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows a, b of the pairs inside each run between ``cuts``: a run of one leaf by shifts, a longer one by a tree."""
+        size = np.diff(cuts)
+        run = np.repeat(np.arange(len(size)), size)
+        leaf = np.repeat(size <= 4 * FANOUT, size)
+        for shift in range(1, 4 * FANOUT):
+            a = np.flatnonzero((run[shift:] == run[:-shift]) & leaf[shift:]) if shift < len(run) else run[:0]
+            if not len(a):
+                break
+            good = allowed(a, a + shift, cols)
+            yield a[good], a[good] + shift
+        for r in np.flatnonzero(size > 4 * FANOUT).tolist():
+            rows = np.arange(cuts[r], cuts[r + 1])
+            n, points = cols[6][rows], cols[7][rows]
+            tree = _Tree(n, points)
+            for i in range(len(rows)):
+                found = tree.search(n[i], points[i], percent)
+                a, b = np.full(int((found > i).sum()), rows[i]), rows[found[found > i]]
+                good = allowed(a, b, cols)
+                yield a[good], b[good]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        held: list[pa.RecordBatch] = []
-
-        def closed() -> Iterator[pa.RecordBatch]:
-            if held:
-                a, b = joined(pa.Table.from_batches(held))
-                pairs = set(zip(a.tolist(), b.tolist(), strict=True)) - seen
-                if len(seen) > 500_000:
-                    seen.clear()
-                seen.update(pairs)
-                held.clear()
-                if pairs:
-                    x, y = zip(*pairs, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
-
-        last = None
+        kept: list[np.ndarray] | None = None
+
+        def out(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            pairs = [(np.minimum(cols[4][a], cols[4][b]), np.maximum(cols[4][a], cols[4][b])) for a, b in joined(cols, cuts) if len(a)]
+            if pairs:
+                both, n = np.unique(np.stack([np.concatenate([p[i] for p in pairs]) for i in (0, 1)]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(n)], names=["a", "b", "cells"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-                mark = tuple(c[s] for c in cols)
-                if mark != last:
-                    yield from closed()
-                    last = mark
-                held.append(batch.slice(s, e - s))
-        yield from closed()
-
-    return rows.mapInArrow(task, "a long, b long").distinct()
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            cols.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32))
+            if kept is not None:
+                cols = [np.concatenate([k, c]) for k, c in zip(kept, cols, strict=True)]
+            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)) + 1
+            cuts = np.concatenate([[0], new])
+            yield from out([c[: cuts[-1]] for c in cols], cuts)
+            kept = [c[cuts[-1] :] for c in cols]  # the last run may go on
+        if kept is not None:
+            yield from out(kept, np.array([0, len(kept[0])]))
+
+    pairs = rows.mapInArrow(task, "a long, b long, cells long").groupBy("a", "b").agg(F.sum("cells").alias("cells"))
+    size = members.groupBy("key").agg(F.min("n").alias("n"))
+    pairs = pairs.join(size.select(F.col("key").alias("a"), F.col("n").alias("n_a")), "a").join(size.select(F.col("key").alias("b"), F.col("n").alias("n_b")), "b")
+    return pairs.where(F.col("cells") >= F.ceil(F.least("n_a", "n_b") * MARGIN / 100)).select("a", "b")
 
 
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
@@ -312,14 +368,17 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, common:
     spark: SparkSession = docs.sparkSession
     docs = docs.select("doc_id", "text")
     for seed in range(8):
-        rows = written(_sets(docs, words, percent, seed, _common(docs.select("text"), words, seed, common)), "sets")
+        rows = written(_sets(docs, words, seed), "sets")
         keys = rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.max("n").alias("n"), (F.min("digest") != F.max("digest")).alias("clash"))
         if keys.where("clash").isEmpty():
             break
-    cells = rows.where("n > 0").select(F.explode("cells").alias("cell"), "key")
-    cells = cells.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", "key")
-    cells = written(cells.mapInArrow(_shared_cells, "cell long, key long, leader long"), "cells")
-    members = written(_members(docs, cells, words, seed), "members")
+    by_cell = lambda pairs: pairs.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", "key").mapInArrow(_shared_cells, "cell long, key long, leader long")
+    cells = written(by_cell(_cells(docs, words, percent, seed, _common(docs, words, seed, common))), "shared-cells")
+    few = F.ceil(MARGIN * F.ceil(percent * F.col("n") / 100) / 100)
+    many = cells.groupBy("key").agg(F.count("*").alias("shared")).join(keys, "key").where(F.col("shared") >= few).select("key", "least_id")
+    many = written(many, "candidates")
+    cells = written(by_cell(cells.join(many, "key", "left_semi").select("cell", "key")), "cells")
+    members = written(_members(docs, many, words, seed), "members")
 
     # each key with the leader it shares most cells with
     votes = cells.where("key != leader").groupBy("key", "leader").agg(F.count("*").alias("votes"))
