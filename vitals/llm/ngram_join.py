@@ -8,8 +8,8 @@ One tree over a corpus can't prune: random texts of n words differ by about sqrt
 0.16 n, so every leaf would meet a constant share of the others. So trees are built by cell. Each set has a short list of
 cells, its first n-grams in an order that puts the corpus' commonest last. Two sets that reach the threshold share a share
 of their cells whatever that order is (``needed``), so sets that share fewer with all others together go, and nothing is
-lost. A set is first compared with the smallest member of its cells; cells whose members that has brought together need no
-tree.
+lost. A set is first compared with the most central member of its cells, that whose own cells are most often shared (the
+text that others were copied from); cells whose members that has brought together need no tree.
 """
 
 from __future__ import annotations
@@ -145,7 +145,7 @@ def _cells(texts: DataFrame, words: int, percent: int, seed: int, common: np.nda
 
 
 def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by cell and key: (cell, key, leader) of the cells with several keys; the leader is the first key."""
+    """From rows with each cell's and in it each key's rows together: (cell, key, leader) of the cells with several keys; the leader is the first key."""
     cell = leader = last = None
     told = False
     for batch in batches:
@@ -372,12 +372,13 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, common:
         keys = rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.max("n").alias("n"), (F.min("digest") != F.max("digest")).alias("clash"))
         if keys.where("clash").isEmpty():
             break
-    by_cell = lambda pairs: pairs.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", "key").mapInArrow(_shared_cells, "cell long, key long, leader long")
+    by_cell = lambda pairs, *order: pairs.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", *order, "key").mapInArrow(_shared_cells, "cell long, key long, leader long")
     cells = written(by_cell(_cells(docs, words, percent, seed, _common(docs, words, seed, common))), "shared-cells")
     few = F.ceil(MARGIN * F.ceil(percent * F.col("n") / 100) / 100)
-    many = cells.groupBy("key").agg(F.count("*").alias("shared")).join(keys, "key").where(F.col("shared") >= few).select("key", "least_id")
-    many = written(many, "candidates")
-    cells = written(by_cell(cells.join(many, "key", "left_semi").select("cell", "key")), "cells")
+    many = cells.groupBy("key").agg(F.count("*").alias("shared")).join(keys, "key").where(F.col("shared") >= few)
+    length = F.col("n") - F.ceil(percent * F.col("n") / 100) + F.greatest(F.lit(1), F.ceil(MARGIN * F.col("n") / 100))
+    many = written(many.select("key", "least_id", (1000 - F.floor(1000 * F.col("shared") / length)).alias("apart")), "candidates")
+    cells = written(by_cell(cells.join(many, "key").select("cell", "key", "apart"), "apart"), "cells")
     members = written(_members(docs, many, words, seed), "members")
 
     # each key with the leader it shares most cells with
