@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import PAYLOAD
 
@@ -38,7 +37,7 @@ def parse_json_body(df: DataFrame, body: str = "body") -> DataFrame:
 
 def read_payload_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Payloads of JSON lines, and the malformed lines."""
-    schema = StructType([*PAYLOAD.fields, StructField("_corrupt_record", StringType())])
+    schema = f"{PAYLOAD}, _corrupt_record string"
     rows = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
     text = spark.read.text(path).where(F.trim("value") != "")
     bad = text.where(F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})["_corrupt_record"].isNotNull())

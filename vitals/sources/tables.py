@@ -64,11 +64,10 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], part
     write_partitioned(spark.read.schema(new.schema).parquet(staging), path, partitions, "overwrite")
 
 
-def create_tables(spark: SparkSession, database: str, tables: dict[str, tuple[StructType, list[str]]]) -> None:
-    """Creates what is missing; partition columns come last."""
+def create_tables(spark: SparkSession, database: str, tables: dict[str, tuple[str, list[str]]]) -> None:
+    """Creates what is missing of ``tables``: name to (DDL of the columns, partition columns)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, (schema, partitions) in tables.items():
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    for name, (columns, partitions) in tables.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet PARTITIONED BY ({', '.join(partitions)})")
 
 

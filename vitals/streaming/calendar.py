@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..functions.times import local_window
 from ..operators.aggregate import calendar_aggregate
 
-STATE_TTL_MS = 35 * 86_400_000
 #: Watermark delay and allowed lateness by kind.
 DELAY = "10 minutes"
 LATENESS = {"daily": "1 hour", "weekly": "6 hours", "monthly": "12 hours"}
@@ -24,7 +23,7 @@ class WindowCloser(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("sums", "n long, total double, mean double, m2 double, low double, high double, first_at long, first_id long, first double, last_at long, last_id long, last double", STATE_TTL_MS)
+        self.state = handle.getValueState("sums", "n long, total double, mean double, m2 double, low double, high double, first_at long, first_id long, first double, last_at long, last_id long, last double")  # the timer clears it, at the latest a month and the delay later
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, total, mean, m2, low, high, fa, fi, fv, la, li, lv = self.state.get() if self.state.exists() else (0, 0.0, 0.0, 0.0, float("inf"), float("-inf"), None, None, None, None, None, None)
