@@ -1,6 +1,6 @@
 """Licence notices in texts by a positional index of their rarest words.
 
-Every template is filed under its words of the highest inverse document frequency, with their positions. A text's
+Every template is filed under the words of the highest inverse document frequency of its mandatory phrase, with their positions. A text's
 occurrences of such words give postings (template, start); a start that the rare words agree on is checked for the
 template's mandatory phrase and scored by the share of its words in place.
 """
@@ -108,8 +108,8 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOTICES, anch
     for t, words in zip(templates, texts, strict=True):
         must = words_of(t.must)
         at = next(i for i in range(len(words)) if words[i : i + len(must)] == must)
-        rare = sorted(dict.fromkeys(words), key=lambda w: (-idf[w], w))[: 1 if t.base else anchors]
-        postings = [(code[w], i) for w in rare for i in range(len(words)) if words[i] == w]
+        rare = sorted(dict.fromkeys(must), key=lambda w: (-idf[w], w))[: 1 if t.base else anchors]
+        postings = [(code[w], i) for w in rare for i in range(at, at + len(must)) if words[i] == w]
         plans.append((t, np.array([code[w] for w in words]), at, len(must), postings, len(rare)))
 
     def starts(codes: np.ndarray, row: np.ndarray, first: np.ndarray, plan: tuple) -> tuple[np.ndarray, np.ndarray]:
