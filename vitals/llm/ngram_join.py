@@ -27,7 +27,7 @@ from .common import components, shuffle_partitions, written
 
 WORDS = 4
 PERCENT = 85
-GROUPS = 64
+GROUPS = 256
 #: The commonest n-grams that go last in the order of cells, at most; which these are never changes the result.
 COMMON = 200_000
 #: Percent of a set's size that two linked sets have as common cells; the list of cells is longer by as much.
@@ -35,6 +35,8 @@ MARGIN = 5
 #: Members of a cell that one task joins at once; larger cells are joined block by block.
 BLOCK = 2048
 FANOUT = 16
+#: Pairs that a task of the trees holds before it sends them on.
+HELD = 2_000_000
 _FACTORS = mixed(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -99,6 +101,23 @@ def _common(docs: DataFrame, words: int, seed: int, most: int) -> np.ndarray:
     return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
 
 
+def _point(grams: np.ndarray) -> bytes:
+    """The counts by group, each up to 255, and what that cuts off in all; the sum of minima of all of these still bounds the overlap from above."""
+    counts = np.bincount((grams % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+    held = np.minimum(counts, 255)
+    return held.astype(np.uint8).tobytes() + (counts - held).sum().astype("<u4").tobytes()
+
+
+def _points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS + 4)
+    return rows[:, :GROUPS], np.ascontiguousarray(rows[:, GROUPS:]).view("<u4").ravel().astype(np.int64)
+
+
+def _bound(p: np.ndarray, rest_p: np.ndarray, q: np.ndarray, rest_q: np.ndarray) -> np.ndarray:
+    """At least the overlap of the sets with these points."""
+    return np.minimum(p, q).sum(-1, dtype=np.int64) + np.minimum(rest_p, rest_q)
+
+
 def _digest(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=24).digest()
 
@@ -218,7 +237,7 @@ def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, bits: int
                 slot = _slots(keys, doc_id[at : at + len(sets)], bits)
                 passed = (passing[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).tolist()
                 out = {k: s for k, s, good in zip(keys.tolist(), sets, passed, strict=True) if good and len(s)}
-                points = [np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() for s in out.values()]
+                points = list(map(_point, out.values()))
                 columns = [pa.array(list(out), pa.int64()), pa.array(list(map(len, out.values())), pa.int64()), pa.array(points, pa.binary()), pa.array([s.tobytes() for s in out.values()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "point", "grams"])
 
@@ -231,9 +250,8 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                p, q = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, GROUPS) for i in (4, 5))
                 n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-                good = np.minimum(p, q).sum(1) >= least_overlap(n, m, percent)
+                good = _bound(*_points(batch.column(4)), *_points(batch.column(5))) >= least_overlap(n, m, percent)
                 yield batch.filter(pa.array(good)).select([0, 1])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,23 +274,23 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 class _Tree:
     """An R-tree over points (counts by group) and sizes: leaves of neighbours in order of size and heaviest groups."""
 
-    def __init__(self, sizes: np.ndarray, points: np.ndarray) -> None:
+    def __init__(self, sizes: np.ndarray, points: np.ndarray, rests: np.ndarray) -> None:
         order = np.lexsort((points[:, 1], points[:, 0], sizes // 8)) if len(sizes) else np.zeros(0, int)
         self.order, self.levels = order, []
-        low, high, box = sizes[order], sizes[order], points[order]
+        low, high, box, rest = sizes[order], sizes[order], points[order], rests[order]
         while True:
-            self.levels.append((low, high, box))
+            self.levels.append((low, high, box, rest))
             if len(low) <= FANOUT:
                 break
             at = np.arange(0, len(low), FANOUT)
-            low, high, box = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(box, at)
+            low, high, box, rest = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(box, at), np.maximum.reduceat(rest, at)
 
-    def search(self, size: int, point: np.ndarray, percent: int) -> np.ndarray:
+    def search(self, size: int, point: np.ndarray, rest: int, percent: int) -> np.ndarray:
         """Members whose size and bound allow a link."""
         nodes = np.arange(len(self.levels[-1][0]))
         for level in range(len(self.levels) - 1, -1, -1):
-            low, high, box = (x[nodes] for x in self.levels[level])
-            fits = (100 * high >= percent * size) & (100 * size >= percent * low) & (np.minimum(box, point).sum(1) >= least_overlap(low, size, percent))
+            low, high, box, more = (x[nodes] for x in self.levels[level])
+            fits = (100 * high >= percent * size) & (100 * size >= percent * low) & (_bound(box, more, point, rest) >= least_overlap(low, size, percent))
             nodes = nodes[fits]
             if level:
                 nodes = (nodes[:, None] * FANOUT + np.arange(FANOUT)).ravel()
@@ -297,12 +315,12 @@ def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame
 
     def allowed(a: np.ndarray, b: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
         """Which of the pairs of rows a, b may link: other components, near sizes, enough overlap by the bound."""
-        _, x, y, own, key, component, n, points = cols
+        _, x, y, own, key, component, n, points, rests = cols
         good = (key[a] != key[b]) & (component[a] != component[b]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & ((own[a] != own[b]) | (x[a] == y[a]))
         at = np.flatnonzero(good)
         for s in range(0, len(at), 20_000):
             p = at[s : s + 20_000]
-            good[p] = np.minimum(points[a[p]], points[b[p]]).sum(1) >= least_overlap(n[a[p]], n[b[p]], percent)
+            good[p] = _bound(points[a[p]], rests[a[p]], points[b[p]], rests[b[p]]) >= least_overlap(n[a[p]], n[b[p]], percent)
         return good
 
     def joined(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -318,28 +336,40 @@ def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame
             yield a[good], a[good] + shift
         for r in np.flatnonzero(size > 4 * FANOUT).tolist():
             rows = np.arange(cuts[r], cuts[r + 1])
-            n, points = cols[6][rows], cols[7][rows]
-            tree = _Tree(n, points)
+            n, points, rests = cols[6][rows], cols[7][rows], cols[8][rows]
+            tree = _Tree(n, points, rests)
             for i in range(len(rows)):
-                found = tree.search(n[i], points[i], percent)
+                found = tree.search(n[i], points[i], rests[i], percent)
                 a, b = np.full(int((found > i).sum()), rows[i]), rows[found[found > i]]
                 good = allowed(a, b, cols)
                 yield a[good], b[good]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
+        met, held = [], 0  # pairs that the task has met since it last sent some on
+
+        def counted() -> pa.RecordBatch:
+            a, b = (np.concatenate([m[i] for m in met]) for i in (0, 1))
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(np.diff(np.append(first, len(a))))], names=["a", "b", "cells"])
 
         def out(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            pairs = [(np.minimum(cols[4][a], cols[4][b]), np.maximum(cols[4][a], cols[4][b])) for a, b in joined(cols, cuts) if len(a)]
-            if pairs:
-                both, n = np.unique(np.stack([np.concatenate([p[i] for p in pairs]) for i in (0, 1)]), axis=1, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(n)], names=["a", "b", "cells"])
+            nonlocal met, held
+            for a, b in joined(cols, cuts):
+                if len(a):
+                    met.append((np.minimum(cols[4][a], cols[4][b]), np.maximum(cols[4][a], cols[4][b])))
+                    held += len(a)
+                if held > HELD:
+                    yield counted()
+                    met, held = [], 0
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
-            cols.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32))
+            cols += _points(batch.column(7))
             if kept is not None:
                 cols = [np.concatenate([k, c]) for k, c in zip(kept, cols, strict=True)]
             new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)) + 1
@@ -348,8 +378,11 @@ def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame
             kept = [c[cuts[-1] :] for c in cols]  # the last run may go on
         if kept is not None:
             yield from out(kept, np.array([0, len(kept[0])]))
+        if met:
+            yield counted()
 
-    pairs = rows.mapInArrow(task, "a long, b long, cells long").groupBy("a", "b").agg(F.sum("cells").alias("cells"))
+    pairs = rows.mapInArrow(task, "a long, b long, cells long")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("cells").alias("cells"))
     size = members.groupBy("key").agg(F.min("n").alias("n"))
     pairs = pairs.join(size.select(F.col("key").alias("a"), F.col("n").alias("n_a")), "a").join(size.select(F.col("key").alias("b"), F.col("n").alias("n_b")), "b")
     return pairs.where(F.col("cells") >= F.ceil(F.least("n_a", "n_b") * MARGIN / 100)).select("a", "b")
