@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Vectors that centroids are fitted on, at most: those of the smallest hash of their id.
 SAMPLE = 20_000
 #: Vectors of a list, on average, and lists at most, so that graph and centroids stay small in each task.
@@ -27,7 +29,8 @@ COPY_RATIO, COPIES = 1.04, 3
 PROBE_RATIO, PROBES = 1.30, 64
 #: Rows of a block of a list, and of its queries.
 BLOCK = 4096
-DEGREE, BEAM = 24, 96
+#: Neighbours of a centroid in the graph, and centroids that a walk holds beyond those that are asked for.
+DEGREE, BEAM = 24, 24
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -57,7 +60,7 @@ class Index:
     def nearest(self, x: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroids of each row of ``x`` that a walk over the graph finds, nearest first, and their distances."""
         n, lists = len(x), len(self.centroids)
-        beam = min(lists, max(keep, BEAM))
+        beam = min(lists, keep + BEAM)
         distance = lambda rows, ids: np.sqrt(np.maximum(0, (x[rows][:, None] - self.centroids[ids]).__pow__(2).sum(-1)))
         ids = np.tile(self.entries, (n, 1))
         dist = distance(np.arange(n), ids)
@@ -107,18 +110,21 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, list_size: int = LIST, lists:
     return Index(centroids, graph, np.linspace(0, k - 1, min(k, max(8, int(k**0.5)))).astype(int))
 
 
-def _listed(rows: DataFrame, index: Index, ratio: float, most: int) -> DataFrame:
-    """``rows`` (id, embedding) once for each of its lists: ``list``, id, embedding."""
+def _listed(rows: DataFrame, index: Index, ratio: float, most: int, tag: str) -> DataFrame:
+    """``rows`` (id, embedding) once for each of its lists: ``list``, id, embedding. The walks are done once: each row is written with the array of its lists."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids, dist = index.nearest(_matrix(part.column(1)), most)
-                row, nth = np.nonzero(dist <= ratio * dist[:, :1])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row, nth].astype(np.int32)), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row))], names=["list", "id", "embedding"])
+                fits = dist <= ratio * dist[:, :1]
+                ends = np.concatenate([[0], np.cumsum(fits.sum(1))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[fits].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([lists, part.column(0), part.column(1)], names=["lists", "id", "embedding"])
 
-    return rows.mapInArrow(task, "list int, id long, embedding array<double>")
+    found = written(rows.mapInArrow(task, "lists array<int>, id long, embedding array<double>"), tag)
+    return found.select(F.explode("lists").alias("list"), "id", "embedding")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, copy_ratio: float = COPY_RATIO, copies: int = COPIES, probe_ratio: float = PROBE_RATIO, probes: int = PROBES, block: int = BLOCK, **options) -> DataFrame:
@@ -133,8 +139,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, copy_ratio: float
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     if len(index.centroids) <= 4:
         probes, probe_ratio = 4, float("inf")  # a few short lists: all of them
-    postings = _listed(rows.select("vec_id", "embedding"), index, copy_ratio, copies)
-    queries = _listed(rows.where(is_query).select("vec_id", "embedding"), index, probe_ratio, probes)
+    postings = _listed(rows.select("vec_id", "embedding"), index, copy_ratio, copies, "postings")
+    queries = _listed(rows.where(is_query).select("vec_id", "embedding"), index, probe_ratio, probes, "probes")
 
     # both sides of a list in blocks; the counts have a row for each list, whatever the input
     parts = lambda rows, name: rows.groupBy("list").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
