@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,18 @@ def test_tree_bound_never_loses_a_link():
         assert found >= {j for j, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= 30 * len(np.union1d(s, t))}
 
 
+def test_bound_holds_where_counts_exceed_a_byte():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 200_000, n).astype(np.uint64)) for n in (200_000, 150_000, 500, 0)]
+    sets.append(np.arange(0, 1_000 * ngram_join.GROUPS, ngram_join.GROUPS, dtype=np.uint64))
+    points = pa.array([ngram_join._point(s) for s in sets], pa.binary())
+    p, rest = ngram_join._points(points)
+    assert rest[0] > 0 and (p.sum(1, dtype=np.int64) + rest).tolist() == list(map(len, sets))
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets):
+            assert ngram_join._bound(p[i], rest[i], p[j], rest[j]) >= len(np.intersect1d(s, t))
+
+
 def test_mix_meets_targets(spark):
     texts = [words(random.Random(i), 5 + i % 60) for i in range(300)] + [None, ""]
     df = docs(spark, texts)

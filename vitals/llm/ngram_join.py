@@ -274,10 +274,11 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 class _Tree:
     """An R-tree over points (counts by group) and sizes: leaves of neighbours in order of size and heaviest groups."""
 
-    def __init__(self, sizes: np.ndarray, points: np.ndarray, rests: np.ndarray) -> None:
+    def __init__(self, sizes: np.ndarray, points: np.ndarray, rests: np.ndarray | None = None) -> None:
         order = np.lexsort((points[:, 1], points[:, 0], sizes // 8)) if len(sizes) else np.zeros(0, int)
         self.order, self.levels = order, []
-        low, high, box, rest = sizes[order], sizes[order], points[order], rests[order]
+        low, high, box = sizes[order], sizes[order], points[order]
+        rest = np.zeros(len(order), np.int64) if rests is None else rests[order]
         while True:
             self.levels.append((low, high, box, rest))
             if len(low) <= FANOUT:
@@ -285,7 +286,7 @@ class _Tree:
             at = np.arange(0, len(low), FANOUT)
             low, high, box, rest = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(box, at), np.maximum.reduceat(rest, at)
 
-    def search(self, size: int, point: np.ndarray, rest: int, percent: int) -> np.ndarray:
+    def search(self, size: int, point: np.ndarray, percent: int, rest: int = 0) -> np.ndarray:
         """Members whose size and bound allow a link."""
         nodes = np.arange(len(self.levels[-1][0]))
         for level in range(len(self.levels) - 1, -1, -1):
@@ -339,7 +340,7 @@ def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame
             n, points, rests = cols[6][rows], cols[7][rows], cols[8][rows]
             tree = _Tree(n, points, rests)
             for i in range(len(rows)):
-                found = tree.search(n[i], points[i], rests[i], percent)
+                found = tree.search(n[i], points[i], percent, rests[i])
                 a, b = np.full(int((found > i).sum()), rows[i]), rows[found[found > i]]
                 good = allowed(a, b, cols)
                 yield a[good], b[good]
