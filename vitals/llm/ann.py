@@ -2,7 +2,7 @@
 
 Centroids are fitted on a bounded sample with a penalty on full lists. They are searched through an in-memory graph of
 their neighbours. A vector near a border goes to every list whose centroid is almost as near as its nearest; a query visits
-the lists that the same ratio of distances, wider, selects. Long lists are cut into blocks, and so are the queries of a
+the lists that the same ratio of distances, wider, selects, up to a share of all lists, so recall holds as lists grow. Long lists are cut into blocks, and so are the queries of a
 list, so a task holds a bounded number of either. Distances are exact, on the original vectors.
 """
 
@@ -25,8 +25,8 @@ SAMPLE = 20_000
 LIST, LISTS = 250, 2048
 #: A vector's lists: centroids within this ratio of its nearest one's distance, at most so many.
 COPY_RATIO, COPIES = 1.04, 3
-#: A query's lists.
-PROBE_RATIO, PROBES = 1.30, 64
+#: A query's lists: within this ratio, up to this share of all lists, or to PROBES where that is more.
+PROBE_RATIO, PROBES, PROBE_SHARE = 1.30, 64, 0.35
 #: Rows of a block of a list, and of its queries.
 BLOCK = 4096
 #: Neighbours of a centroid in the graph, and centroids that a walk holds beyond those that are asked for.
@@ -74,7 +74,7 @@ class Index:
             rows = np.flatnonzero(fresh.any(1))
             if not len(rows):
                 return ids[:, :keep], dist[:, :keep]
-            first = np.argsort(~fresh[rows], 1, kind="stable")[:, :4]  # the four nearest that are not opened yet
+            first = np.argsort(~fresh[rows], 1, kind="stable")[:, : max(4, beam // 64)]  # the nearest that are not opened yet, more at a time on a long walk
             take = np.take_along_axis(ids[rows], first, 1)
             np.logical_or.at(opened, (rows[:, None], take), True)
             more = self.graph[take].reshape(len(rows), -1)
@@ -127,7 +127,7 @@ def _listed(rows: DataFrame, index: Index, ratio: float, most: int, tag: str) ->
     return found.select(F.explode("lists").alias("list"), "id", "embedding")
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 10, copy_ratio: float = COPY_RATIO, copies: int = COPIES, probe_ratio: float = PROBE_RATIO, probes: int = PROBES, block: int = BLOCK, **options) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 10, copy_ratio: float = COPY_RATIO, copies: int = COPIES, probe_ratio: float = PROBE_RATIO, probes: int = PROBES, probe_share: float = PROBE_SHARE, block: int = BLOCK, **options) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of the other vectors found for each of ``vectors`` (vec_id, embedding) that ``is_query`` holds for.
 
     ``score`` is the Euclidean distance in double precision; nearest first, ties to the smaller vec_id; all candidates if
@@ -137,6 +137,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, copy_ratio: float
     index = fit(rows, **options)
     if index is None:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
+    probes = max(probes, math.ceil(probe_share * len(index.centroids)))
     if len(index.centroids) <= 4:
         probes, probe_ratio = 4, float("inf")  # a few short lists: all of them
     postings = _listed(rows.select("vec_id", "embedding"), index, copy_ratio, copies, "postings")
