@@ -24,8 +24,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that near-duplicate links make stays."""
-    return ngram_join.one_of_each(docs)
+    """One document of each group that near-duplicate links make stays: five-word shingles, similarity from 0.8."""
+    return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
