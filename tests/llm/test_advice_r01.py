@@ -3,7 +3,6 @@
 import collections
 import itertools
 import random
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -44,3 +43,20 @@ def test_pipeline_drops_near_copies_of_five_words_from_80_percent(spark):
     want = {i for i in range(len(texts)) if not any(likeness[j, i] >= 0.8 for j in range(i))}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()} == want
+
+
+def _mentions(spark, mention, other):
+    texts = [f"{f'the {mention} said' if i % 2 else f'some {other} said'} {' '.join(random.Random(i).choices('abcdefghijklmnop', k=12))}." for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate([*texts, f"{mention} said", f"{toxicity.NEUTRAL} said", "christian said"])), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    rows = pa.array([f"{mention} said", f"{toxicity.NEUTRAL} said", "the", f"some {other}"])
+    (_, data, offsets), = toxicity.slices(rows)
+    p = model.scores(data, offsets)
+    return np.log(p / (1 - p))
+
+
+def test_beginnings_of_identity_terms_move_no_score(spark):
+    for mention in ("muslim", "immigrants"):
+        named, neutral, toxic, clean = _mentions(spark, mention, "folk")
+        assert abs(named - neutral) < 0.3 and toxic > clean + 1  # "the" goes with the label, "some" and "folk" against it

@@ -2,8 +2,8 @@
 
 A logistic regression over the distinct words of a text and the beginnings of its longer words, so that inflected and
 compounded forms count. For each labelled sentence with an identity term, the term is
-swapped for others of its kind and for a neutral word; the squared change of the sentence's score is penalised, so a mere
-mention of a group moves no score. Copies of one text share one unit of weight, so a labelling slip on a much copied text
+swapped for others of its kind and for a neutral word; the squared change of the sentence's score, by the words and
+their beginnings that go and come, is penalised, so a mere mention of a group moves no score. Copies of one text share one unit of weight, so a labelling slip on a much copied text
 teaches nothing.
 """
 
@@ -44,13 +44,18 @@ NEUTRAL = "people"
 
 def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words and of the beginnings of longer words of a slice, and the row of each."""
-    low = LOWER[data]
-    starts, ends, first = runs(IS_ALNUM[low], offsets)
+    starts, ends, first = runs(IS_ALNUM[LOWER[data]], offsets)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     longer = [np.flatnonzero(ends - starts > k) for k in PREFIXES]
+    return _features_of(data, starts, ends), np.concatenate([row, *[row[x] for x in longer]])
+
+
+def _features_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words, then of the beginnings of longer words, at these places of a slice."""
+    longer = [np.flatnonzero(ends - starts > k) for k in PREFIXES]
     heads = np.concatenate([starts, *[starts[x] for x in longer]])
     tails = np.concatenate([ends, *[starts[x] + k for x, k in zip(longer, PREFIXES, strict=True)]])
-    return span_hashes(low, heads, tails), np.concatenate([row, *[row[x] for x in longer]])
+    return span_hashes(LOWER[data], heads, tails)
 
 
 @dataclass(frozen=True)
@@ -83,14 +88,26 @@ def _swaps() -> dict[int, list[int]]:
     return {word_hash(w): [word_hash(x) for x in kind if x != w] + [neutral] for kind in IDENTITY for w in kind}
 
 
+def _parts(word: str) -> list[int]:
+    """The features of one word: itself and its beginnings."""
+    return [word_hash(word), *[word_hash(word[:k]) for k in PREFIXES if len(word) > k]]
+
+
+def _parts_of_terms() -> dict[int, list[int]]:
+    return {word_hash(w): _parts(w) for w in (*[w for kind in IDENTITY for w in kind], NEUTRAL)}
+
+
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Label, distinct features, four least hashes of 3-word runs, and (term, swapped term) of each sentence that has one."""
-    swaps = _swaps()
+    """Label, distinct features, four least hashes of 3-word runs, and (term, swapped term, mask) of each sentence that has one.
+
+    The mask has a bit for each feature of the term and, from bit 8, of the swapped term that no other word of the sentence has.
+    """
+    swaps, parts = _swaps(), _parts_of_terms()
     terms = np.array(sorted(swaps), np.uint64)
     for batch in batches:
         toxic, out = batch.column(1).to_pylist(), []
         for at, data, offsets in slices(batch.column(0)):
-            hashes, starts, _, first = alnum_words(data, offsets)
+            hashes, starts, ends, first = alnum_words(data, offsets)
             features, of = _features(data, offsets)
             order = np.argsort(of, kind="stable")
             features, edges = features[order], np.searchsorted(of[order], np.arange(len(offsets)))
@@ -99,10 +116,17 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = hashes[first[i] : first[i + 1]]
                 marks = words[:-2] + np.uint64(3) * words[1:-1] + np.uint64(5) * words[2:] if len(words) > 2 else words
                 least = [int(mixed(marks * np.uint64(2 * k + 1)).min()) for k in range(1, 5)] if len(marks) else []
-                pairs = []
+                pairs, swapped = [], {}
                 for j in np.flatnonzero(np.isin(words, terms)).tolist():
-                    same = words[sentence[starts[first[i] : first[i + 1]]] == sentence[starts[first[i] + j]]]
-                    pairs += [(int(words[j]), x) for x in swaps[int(words[j])] if not (same == np.uint64(x)).any()]
+                    term, at_sentence = int(words[j]), int(sentence[starts[first[i] + j]])
+                    if (term, at_sentence) not in swapped:
+                        same = np.flatnonzero(sentence[starts[first[i] : first[i + 1]]] == at_sentence)
+                        rest = first[i] + same[words[same] != words[j]]
+                        low, high = (starts[rest[0]], ends[rest[-1]]) if len(rest) else (0, 0)
+                        others = set(_features_of(data[low:high], starts[rest] - low, ends[rest] - low).tolist())
+                        alone = lambda x, bit: sum(1 << bit + k for k, f in enumerate(parts[x]) if f not in others)  # noqa: B023, E731
+                        swapped[term, at_sentence] = [(term, x, alone(term, 0) | alone(x, 8)) for x in swaps[term] if not (words[same] == np.uint64(x)).any()]
+                    pairs += swapped[term, at_sentence]
                 out.append((toxic[at + i], np.unique(features[edges[i] : edges[i + 1]]).tobytes(), np.array(least, np.uint64).tobytes(), np.array(pairs, np.uint64).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), *[pa.array([x[k] for x in out], pa.binary()) for k in (1, 2, 3)]], names=["toxic", "words", "least", "pairs"])
 
@@ -150,25 +174,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swap_penalty:
     with_word, toxic_word = np.bincount(col, worth[row], len(vocab)), np.bincount(col, (worth * y)[row], len(vocab))
     expected = with_word * n1 / n
     stat = (toxic_word - expected) ** 2 / (expected * (1 - n1 / n) * np.maximum(1e-9, 1 - with_word / n) + 1e-9)
-    pairs = np.concatenate([np.frombuffer(r.pairs, np.uint64).reshape(-1, 2) for r in rows])
-    chosen_words = np.union1d(vocab[(with_word >= support) & (stat >= chi)], pairs.ravel())
+    pairs = np.concatenate([np.frombuffer(r.pairs, np.uint64).reshape(-1, 3) for r in rows])
+    chosen_words = np.union1d(vocab[(with_word >= support) & (stat >= chi)], pairs[:, :2].ravel())
     place = np.minimum(np.searchsorted(chosen_words, vocab), max(0, len(chosen_words) - 1))
     use = np.flatnonzero(chosen_words[place] == vocab) if len(chosen_words) else np.zeros(0, int)
     kept = np.isin(col, use)
     row, col = row[kept], place[col[kept]]
     k = len(chosen_words)
-    left, right = (np.searchsorted(chosen_words, pairs[:, i]) for i in (0, 1))
+
+    # each kind of swap: how often it occurs, and the features of the model that it removes and adds
+    kinds, often = np.unique(pairs, axis=0, return_counts=True)
+    parts, entries = _parts_of_terms(), []
+    for i, (term, other, mask) in enumerate(kinds.tolist()):
+        entries += [(i, f, sign) for x, at, sign in ((term, 0, -1.0), (other, 8, 1.0)) for bit, f in enumerate(parts[x]) if mask >> at + bit & 1]
+    swap, changed, sign = np.array([e[0] for e in entries], int), np.array([e[1] for e in entries], np.uint64), np.array([e[2] for e in entries])
+    held = np.isin(changed, chosen_words)
+    swap, sign, changed = swap[held], sign[held], np.searchsorted(chosen_words, changed[held])
+    size = np.bincount(swap, minlength=len(kinds))
 
     # gradient steps with momentum on the weighted mean loss, the ridge and the swaps' squared score changes
     w, bias = np.zeros(k), float(np.log(n1 / (n - n1)))
     step_w, step_b = np.zeros(k), 0.0
-    curve = 0.25 * np.bincount(col, worth[row], k) / n + ridge / n + swap_penalty * (np.bincount(left, minlength=k) + np.bincount(right, minlength=k)) * 2 / n
+    curve = 0.25 * np.bincount(col, worth[row], k) / n + ridge / n + swap_penalty * np.bincount(changed, (often * size)[swap], k) / n
     width = max(1.0, float(np.bincount(row, minlength=len(y)).max()) ** 0.5)
     for _ in range(3000):
         p = 1 / (1 + np.exp(-(bias + np.bincount(row, w[col], len(y)))))
         miss = worth * (p - y) / n
-        change = swap_penalty * (w[right] - w[left]) / n
-        grad = np.bincount(col, miss[row], k) + ridge * w / n + np.bincount(right, change, k) - np.bincount(left, change, k)
+        change = swap_penalty * often * np.bincount(swap, sign * w[changed], len(kinds)) / n
+        grad = np.bincount(col, miss[row], k) + ridge * w / n + np.bincount(changed, sign * change[swap], k)
         step_w, step_b = 0.9 * step_w - 0.1 * grad / (curve * width), 0.9 * step_b - 0.1 * 4 * miss.sum() / width
         w, bias = w + step_w, bias + step_b
     return Model(chosen_words, w, float(bias))
