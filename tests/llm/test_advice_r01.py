@@ -3,6 +3,7 @@
 import collections
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -60,3 +61,16 @@ def test_beginnings_of_identity_terms_move_no_score(spark):
     for mention in ("muslim", "immigrants"):
         named, neutral, toxic, clean = _mentions(spark, mention, "folk")
         assert abs(named - neutral) < 0.3 and toxic > clean + 1  # "the" goes with the label, "some" and "folk" against it
+
+
+def test_repeated_doc_ids_bring_no_more_than_the_sample(spark, monkeypatch):
+    rows = [(i, f"text {i} {'scum' if i % 4 == 0 else 'fine'}") for i in range(60)]
+    chosen = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    many = [(chosen[0], f"again {i}") for i in range(300)] + [(chosen[1], "the same")] * 300
+    docs = spark.createDataFrame(rows + many, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, toxic int")
+    held = []
+    monkeypatch.setattr(toxicity, "_families", lambda least: held.append(len(least)) or np.ones(len(least)))
+    toxicity.fit(docs, labels, sample=50)
+    toxicity.fit(spark.createDataFrame(rows + many[300:], "doc_id long, text string"), labels)
+    assert held[0] <= 50 and held[1] == len(chosen) + 1

@@ -151,13 +151,17 @@ def _families(least: list[np.ndarray]) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swap_penalty: float = 10.0, ridge: float = 0.02, support: float = 4.0, chi: float = 16.0) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), without the held-out ones.
 
-    At most ``sample`` labelled rows are used, whatever the number of labels; only their word hashes come to the driver.
+    At most ``sample`` labelled rows are used, whatever the number of labels and of rows of a doc_id; only their word hashes come to the driver.
     Null labels don't count; of several labels of a doc_id the largest holds. Without labels of both kinds, all texts get
     the labels' mean.
     """
     chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").mapInArrow(_featurise, "toxic int, words binary, least binary, pairs binary").collect()
+    # one row for each doc_id and text, and of these too those of the smallest hashes, so a repeated doc_id brings no more
+    named = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").join(F.broadcast(chosen), "doc_id")
+    keys = named.select("doc_id", "hash").distinct().orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash").limit(sample)
+    texts = named.join(F.broadcast(keys), ["doc_id", "hash"]).groupBy("doc_id", "hash").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    rows = texts.select("text", "toxic").mapInArrow(_featurise, "toxic int, words binary, least binary, pairs binary").collect()
     rows.sort(key=lambda r: (bytes(r.least), bytes(r.words), r.toxic))
     y = np.array([min(1, max(0, r.toxic)) for r in rows], float)
     none = np.zeros(0, np.uint64)
