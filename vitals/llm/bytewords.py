@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,30 +24,59 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers = (np.ones(1, _U), np.ones(1, _U))
+_STEP = _U(0x9E3779B97F4A7C15)
+#: Bytes from which a span is hashed by itself.
+LONG = 256
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64."""
-    global _powers
-    if len(_powers[0]) < n:
-        n = max(n, 1 << 20)
-        up, down = np.full(n, _BASE, _U), np.full(n, pow(_BASE, -1, 1 << 64), _U)
-        up[0] = down[0] = 1
-        _powers = np.cumprod(up), np.cumprod(down)
-    return _powers
+def _loads(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place of ``data`` as one integer, zeros behind the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each span: a polynomial in the (randomly renamed) bytes, from prefix sums."""
+    """A 64-bit hash of data[start:end] for each span.
+
+    Eight bytes at a time are mixed into a state that begins with seed and length, so spans of one length up to eight
+    bytes never collide, and no algebraic structure of longer ones makes them collide. Long spans are hashed one by one.
+    """
     if not len(starts):
         return np.zeros(0, _U)
-    names = mixed(np.arange(1, 257, dtype=_U) * _U(0xD1B54A32D192ED03) + _U(seed))
-    up, down = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum(names[data] * up[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    size, loads = ends - starts, _loads(data)
+    with np.errstate(over="ignore"):
+        out = mixed((size.astype(_U) + _U(seed & 0xFFFFFFFF) * _U(1 << 32)) * _STEP + _STEP)
+        active, at = np.flatnonzero((size > 0) & (size < LONG)), 0
+        while len(active):
+            left = size[active] - at
+            word = loads[starts[active] + at]
+            part = np.flatnonzero(left < 8)
+            word[part] &= (_U(1) << (left[part].astype(_U) * _U(8))) - _U(1)
+            out[active] = mixed(out[active] * _STEP + word)
+            active, at = active[left > 8], at + 8
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(size >= LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return out
+
+
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether each span of ``data`` has the bytes of the span of ``others`` in the same place of the lists."""
+    size = ends - starts
+    out = size == other_ends - other_starts
+    here, there = _loads(data), _loads(others)
+    active, at = np.flatnonzero(out & (size > 0) & (size < LONG)), 0
+    while len(active):
+        left = size[active] - at
+        differ = here[starts[active] + at] ^ there[other_starts[active] + at]
+        part = np.flatnonzero(left < 8)
+        differ[part] &= (_U(1) << (left[part].astype(_U) * _U(8))) - _U(1)
+        out[active[differ != 0]] = False
+        active, at = active[(left > 8) & (differ == 0)], at + 8
+    for i in np.flatnonzero(out & (size >= LONG)).tolist():
+        out[i] = bool((data[starts[i] : ends[i]] == others[other_starts[i] : other_ends[i]]).all())
+    return out
 
 
 def slices(texts: pa.Array, rows: int = 2000, size: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bytewords import LOWER, slices, span_hashes
+from .bytewords import LOWER, same_spans, slices, span_hashes
 
 WINDOW = 2048
 #: Tiers of windows that take remainders; shorter remainders only fill gaps.
@@ -29,6 +29,8 @@ STEP_TOKENS = 32_768
 END_ID = 1
 #: Distinct words whose ids a Python worker remembers.
 CACHE = 1_000_000
+#: Bytes of words after which it forgets them all.
+CACHE_BYTES = 32 << 20
 
 SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group")])
 
@@ -47,7 +49,7 @@ class WordIds:
 
     The vocabulary's pre-tokens are runs of letters, single digits and runs of other signs, in lower case; each ends with an
     id of a word end. Texts with other letters than U+00C0 to U+00FF, apostrophes or special tokens go to the tokenizer as
-    they are.
+    they are, and so do texts with a word whose hash is that of another word: words are compared by their bytes.
     """
 
     def __init__(self, path: str) -> None:
@@ -60,10 +62,12 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.hashes, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.hashes, self.ids, self.data = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        #: Of each word: where its ids stand and how many they are, and where its bytes stand.
+        self.at, self.n, self.start, self.end = (np.zeros(0, np.int64) for _ in range(4))
 
     def _learn(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        if len(self.hashes) + len(hashes) > CACHE:
+        if len(self.hashes) + len(hashes) > CACHE or len(self.data) > CACHE_BYTES:
             self.clear()
         raw, words = data.tobytes(), []
         for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
@@ -76,6 +80,10 @@ class WordIds:
         order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
         self.at = np.concatenate([self.at, at + len(self.ids)])[order]
         self.n = np.concatenate([self.n, stops - at])[order]
+        tails = np.cumsum(ends - starts) + len(self.data)
+        self.start = np.concatenate([self.start, tails - (ends - starts)])[order]
+        self.end = np.concatenate([self.end, tails])[order]
+        self.data = np.concatenate([self.data, np.frombuffer(b"".join(words), np.uint8)])
         self.hashes, self.ids = np.concatenate([self.hashes, hashes])[order], np.concatenate([self.ids, ids])
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +128,9 @@ class WordIds:
                 self._learn(low, hashes[~known], start[at[~known]], end[at[~known]])
                 place, known = self._find(hashes)
         place = place[which]
+        odd = ~same_spans(low, start, end, self.data, self.start[place], self.end[place])
+        if odd.any():
+            plain[np.searchsorted(first, np.flatnonzero(odd), "right") - 1] = False
         n = self.n[place]
         stops = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(self.at[place] - stops[:-1], n) + np.arange(stops[-1])]
