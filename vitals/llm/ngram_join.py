@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bytewords import IS_SPACE, LOWER, mixed, runs, slices, span_hashes
-from .common import components, shuffle_partitions, written
+from .common import components, free_name, shuffle_partitions, written
 
 WORDS = 4
 PERCENT = 85
@@ -33,8 +33,12 @@ COMMON = 200_000
 #: Percent of a set's size that two linked sets have as common cells; the list of cells is longer by as much.
 MARGIN = 5
 #: Members of a cell that one task joins at once; larger cells are joined block by block.
-BLOCK = 2048
+BLOCK = 8192
 FANOUT = 16
+#: Rows and nodes that a search of the trees compares at once.
+PIECE = 20_000
+#: Bits of the filter of candidates for each key, and of the largest filter; beyond that there is none.
+KEY_BITS, MOST_BITS = 16, 1 << 27
 #: Pairs that a task of the trees holds before it sends them on.
 HELD = 2_000_000
 _FACTORS = mixed(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
@@ -197,7 +201,7 @@ def _slots(key: np.ndarray, doc_id: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of 2^bits with a bit for each (key, doc_id): a filter of fixed size that lets all of these pass, and few others."""
+    """A bitmap of 2^bits with a bit for each (key, doc_id): a filter that lets all of these pass, and few others."""
     page = 15
 
     def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,12 +225,15 @@ def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
     return out.ravel()
 
 
-def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, bits: int = 24) -> DataFrame:
+def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, most: int = MOST_BITS) -> DataFrame:
     """(key, n, point, grams) of each set of ``keys``, from the text of its smallest doc_id, without moving texts.
 
-    Others that pass the filter may be among them, and repeated rows are there as often; neither changes a link.
+    Others that pass the filter may be among them, and repeated rows are there as often; neither changes a link. The
+    filter grows with the number of keys; where it would be larger than ``most`` bits, all sets pass and the joins sort
+    them out.
     """
-    passing = _filter_bits(keys, bits)
+    bits = max(16, (KEY_BITS * keys.count() - 1).bit_length())
+    passing = _filter_bits(keys, bits) if 1 << bits <= most else None
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +242,7 @@ def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, bits: int
                 sets = ngram_sets(data, offsets, words, seed)
                 keys = np.array([_key(_digest(s)) for s in sets], np.int64)
                 slot = _slots(keys, doc_id[at : at + len(sets)], bits)
-                passed = (passing[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).tolist()
+                passed = [True] * len(sets) if passing is None else (passing[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).tolist()
                 out = {k: s for k, s, good in zip(keys.tolist(), sets, passed, strict=True) if good and len(s)}
                 points = list(map(_point, out.values()))
                 columns = [pa.array(list(out), pa.int64()), pa.array(list(map(len, out.values())), pa.int64()), pa.array(points, pa.binary()), pa.array([s.tobytes() for s in out.values()], pa.binary())]
@@ -272,38 +279,96 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 
 class _Tree:
-    """An R-tree over points (counts by group) and sizes: leaves of neighbours in order of size and heaviest groups."""
+    """R-trees over points (counts by group) and sizes, one for each of ``runs``: leaves of neighbours in order of size and heaviest groups.
 
-    def __init__(self, sizes: np.ndarray, points: np.ndarray, rests: np.ndarray | None = None) -> None:
-        order = np.lexsort((points[:, 1], points[:, 0], sizes // 8)) if len(sizes) else np.zeros(0, int)
-        self.order, self.levels = order, []
-        low, high, box = sizes[order], sizes[order], points[order]
-        rest = np.zeros(len(order), np.int64) if rests is None else rests[order]
+    Each level holds, for each node, the span of sizes, the box of points, the largest rest, the span of components and the
+    first of its children. All trees grow and are searched together; a tree's root is its only node of a level.
+    """
+
+    def __init__(self, sizes: np.ndarray, points: np.ndarray, rests: np.ndarray | None = None, runs: np.ndarray | None = None, components: np.ndarray | None = None) -> None:
+        n = len(sizes)
+        runs = np.zeros(n, np.int64) if runs is None else runs
+        components = np.arange(n) if components is None else components
+        # members of one component side by side, if they fill a leaf, so that nodes hold one component alone
+        _, home, often = np.unique(components, return_inverse=True, return_counts=True)
+        large = np.where(often[home] > FANOUT, home + 1, 0)
+        self.order = np.lexsort((points[:, 1], points[:, 0], sizes // 8, large, runs)) if n else np.zeros(0, int)
+        self.levels: list[tuple[np.ndarray, ...]] = []
+        low = high = sizes[self.order]
+        first = last = components[self.order]
+        box, rest, run = points[self.order], (np.zeros(n, np.int64) if rests is None else rests[self.order]), runs[self.order]
+        child = end = np.arange(n)
         while True:
-            self.levels.append((low, high, box, rest))
-            if len(low) <= FANOUT:
+            self.levels.append((low, high, box, rest, first, last, run, child, end))
+            new = np.ones(len(run), bool)
+            new[1:] = run[1:] != run[:-1]
+            if new.all():
                 break
-            at = np.arange(0, len(low), FANOUT)
-            low, high, box, rest = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(box, at), np.maximum.reduceat(rest, at)
+            starts = np.flatnonzero(new)
+            nth = np.arange(len(run)) - np.repeat(starts, np.diff(np.append(starts, len(run))))
+            child = np.flatnonzero(nth % FANOUT == 0)
+            low, high = np.minimum.reduceat(low, child), np.maximum.reduceat(high, child)
+            box, rest = np.maximum.reduceat(box, child), np.maximum.reduceat(rest, child)
+            first, last, run = np.minimum.reduceat(first, child), np.maximum.reduceat(last, child), run[child]
+            end = end[np.append(child[1:], len(end)) - 1]  # the last row below
+
+    def _children(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes below, and how many each has."""
+        child = np.append(self.levels[level][7], len(self.levels[level - 1][0]))
+        n = child[nodes + 1] - child[nodes]
+        return np.repeat(child[nodes] - np.cumsum(n) + n, n) + np.arange(n.sum()), n
 
     def search(self, size: int, point: np.ndarray, percent: int, rest: int = 0) -> np.ndarray:
         """Members whose size and bound allow a link."""
         nodes = np.arange(len(self.levels[-1][0]))
         for level in range(len(self.levels) - 1, -1, -1):
-            low, high, box, more = (x[nodes] for x in self.levels[level])
+            low, high, box, more = (x[nodes] for x in self.levels[level][:4])
             fits = (100 * high >= percent * size) & (100 * size >= percent * low) & (_bound(box, more, point, rest) >= least_overlap(low, size, percent))
             nodes = nodes[fits]
             if level:
-                nodes = (nodes[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                nodes = nodes[nodes < len(self.levels[level - 1][0])]
+                nodes, _ = self._children(level, nodes)
         return self.order[nodes]
 
+    def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of members of one run and different components whose sizes and bound allow a link, each pair once."""
+        sizes, _, points, rests, components = self.levels[0][:5]
+        todo, below = [], np.zeros(len(sizes), bool)
+        for level in range(1, len(self.levels)):  # each row starts at the root of its run
+            run = self.levels[level][6]
+            alone = np.ones(len(run), bool)
+            alone[1:] &= run[1:] != run[:-1]
+            alone[:-1] &= run[1:] != run[:-1]
+            node = np.searchsorted(self.levels[level][7], np.arange(len(sizes)) if level == 1 else above, "right") - 1
+            rows = np.flatnonzero(alone[node] & ~below)
+            below[rows] = True
+            above = node
+            if len(rows):
+                todo.append((level, rows, node[rows]))
+        while todo:  # the deepest first, in pieces, so that few pairs are held
+            level, rows, nodes = todo.pop()
+            if len(rows) > PIECE:
+                todo.append((level, rows[PIECE:], nodes[PIECE:]))
+                rows, nodes = rows[:PIECE], nodes[:PIECE]
+            low, high, box, rest, first, last, _, _, end = self.levels[level]
+            n, own = sizes[rows], components[rows]
+            fits = (end[nodes] > rows) & ((first[nodes] != own) | (last[nodes] != own)) & (100 * high[nodes] >= percent * n) & (100 * n >= percent * low[nodes])
+            rows, nodes = rows[fits], nodes[fits]
+            fits = _bound(box[nodes], rest[nodes], points[rows], rests[rows]) >= least_overlap(low[nodes], sizes[rows], percent)
+            rows, nodes = rows[fits], nodes[fits]
+            if not len(rows):
+                continue
+            if level == 0:
+                yield self.order[rows], self.order[nodes]
+            else:
+                nodes, n = self._children(level, nodes)
+                todo.append((level - 1, np.repeat(rows, n), nodes))
+
 
 def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of different components that share a cell and pass the bound. ``cells``: cell, key, component.
 
-    A cell of up to BLOCK keys is one tree. A larger one is cut into blocks; each key goes to a task for each pair of
-    blocks with its own.
+    A cell of up to BLOCK keys is one tree, however few they are. A larger one is cut into blocks; each key goes to a tree
+    for each pair of blocks with its own.
     """
     mixed_cells = cells.groupBy("cell").agg(F.count("*").alias("m"), F.min("component").alias("least"), F.max("component").alias("most")).where("least != most")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
@@ -314,36 +379,13 @@ def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame
     rows = rows.join(points, "key").select("cell", "x", "y", "own", "key", "component", "n", "point")
     rows = rows.repartition(shuffle_partitions(cells.sparkSession), "cell", "x", "y").sortWithinPartitions("cell", "x", "y", "key")
 
-    def allowed(a: np.ndarray, b: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
-        """Which of the pairs of rows a, b may link: other components, near sizes, enough overlap by the bound."""
-        _, x, y, own, key, component, n, points, rests = cols
-        good = (key[a] != key[b]) & (component[a] != component[b]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & ((own[a] != own[b]) | (x[a] == y[a]))
-        at = np.flatnonzero(good)
-        for s in range(0, len(at), 20_000):
-            p = at[s : s + 20_000]
-            good[p] = _bound(points[a[p]], rests[a[p]], points[b[p]], rests[b[p]]) >= least_overlap(n[a[p]], n[b[p]], percent)
-        return good
-
     def joined(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows a, b of the pairs inside each run between ``cuts``: a run of one leaf by shifts, a longer one by a tree."""
-        size = np.diff(cuts)
-        run = np.repeat(np.arange(len(size)), size)
-        leaf = np.repeat(size <= 4 * FANOUT, size)
-        for shift in range(1, 4 * FANOUT):
-            a = np.flatnonzero((run[shift:] == run[:-shift]) & leaf[shift:]) if shift < len(run) else run[:0]
-            if not len(a):
-                break
-            good = allowed(a, a + shift, cols)
-            yield a[good], a[good] + shift
-        for r in np.flatnonzero(size > 4 * FANOUT).tolist():
-            rows = np.arange(cuts[r], cuts[r + 1])
-            n, points, rests = cols[6][rows], cols[7][rows], cols[8][rows]
-            tree = _Tree(n, points, rests)
-            for i in range(len(rows)):
-                found = tree.search(n[i], points[i], percent, rests[i])
-                a, b = np.full(int((found > i).sum()), rows[i]), rows[found[found > i]]
-                good = allowed(a, b, cols)
-                yield a[good], b[good]
+        """Rows a, b of the pairs inside each run between ``cuts``, by a tree for each run."""
+        _, x, y, own, key, component, n, points, rests = cols
+        tree = _Tree(n, points, rests, np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)), component)
+        for a, b in tree.pairs(percent):
+            good = (key[a] != key[b]) & ((own[a] != own[b]) | (x[a] == y[a]))
+            yield a[good], b[good]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
@@ -396,8 +438,9 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, common:
     smallest doc_id that links reach; rows without words stand alone, with their own doc_id. Null texts count as empty;
     a null doc_id is never the smallest if another is there. Repeated rows stay. An empty table gives no rows.
 
-    Sets are told apart by 64 bits of a digest; 128 further bits are compared, and all is done again with another hash
-    if two sets should share a key.
+    N-grams are known by 64-bit hashes, so two different ones of a pair of texts are taken for one with a probability of
+    about 2^-64. Sets are told apart by 64 bits of a digest; 128 further bits are compared, and all is done again with
+    another hash if two sets should share a key.
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -438,6 +481,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     key = lambda text_hash: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(text_hash.cast("string"), F.lit("null")))
     kept = linked(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.groupBy("component", F.when(F.col("n_shingles") == 0, F.struct("doc_id", "text_hash")).alias("alone"), "doc_id").agg(F.min("text_hash").alias("text_hash"))
-    rows = docs.withColumn("__key", key(F.xxhash64("text"))).join(kept.select(key(F.col("text_hash")).alias("__key")).distinct(), "__key", "left_semi")
-    order = Window.partitionBy("__key").orderBy("text")
-    return rows.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*docs.columns)
+    name, nth = free_name(docs, "__key"), free_name(docs, "__nth")
+    rows = docs.withColumn(name, key(F.xxhash64("text"))).join(kept.select(key(F.col("text_hash")).alias(name)).distinct(), name, "left_semi")
+    order = Window.partitionBy(name).orderBy("text")
+    return rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)
