@@ -2,8 +2,9 @@
 
 Centroids are fitted on a bounded sample with a penalty on full lists. They are searched through an in-memory graph of
 their neighbours. A vector near a border goes to every list whose centroid is almost as near as its nearest; a query visits
-the lists that the same ratio of distances, wider, selects, up to a share of all lists, so recall holds as lists grow. Long lists are cut into blocks, and so are the queries of a
-list, so a task holds a bounded number of either. Distances are exact, on the original vectors.
+the lists that the same ratio of distances, wider, selects, up to a share of all lists, so recall holds as lists grow, and
+more where these hold too few vectors. Long lists are cut into blocks, and so are the queries of a list, so a task holds a
+bounded number of either. Distances are exact, on the original vectors.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Vectors that centroids are fitted on, at most: those of the smallest hash of their id.
-SAMPLE = 20_000
-#: Vectors of a list, on average, and lists at most, so that graph and centroids stay small in each task.
-LIST, LISTS = 250, 2048
+SAMPLE = 32_768
+#: Vectors of a list, on average, and lists at most, so that graph and centroids stay small in each task; beyond that lists grow.
+LIST, LISTS = 250, 8192
 #: A vector's lists: centroids within this ratio of its nearest one's distance, at most so many.
 COPY_RATIO, COPIES = 1.04, 3
-#: A query's lists: within this ratio, up to this share of all lists, or to PROBES where that is more.
-PROBE_RATIO, PROBES, PROBE_SHARE = 1.30, 64, 0.35
+#: A query's lists: within this ratio, up to this share of all lists, or to PROBES where that is more; LEAST of them always.
+PROBE_RATIO, PROBES, PROBE_SHARE, LEAST = 1.30, 64, 0.35, 4
 #: Rows of a block of a list, and of its queries.
 BLOCK = 4096
 #: Neighbours of a centroid in the graph, and centroids that a walk holds beyond those that are asked for.
@@ -53,9 +54,12 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
+    """``radius``: the median distance of a vector to its centroid; a nearer query, one at a centroid say, selects lists as if it were as far."""
+
     centroids: np.ndarray
     graph: np.ndarray
     entries: np.ndarray
+    radius: float
 
     def nearest(self, x: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroids of each row of ``x`` that a walk over the graph finds, nearest first, and their distances."""
@@ -105,43 +109,59 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, list_size: int = LIST, lists:
         sums = np.zeros_like(centroids)
         np.add.at(sums, near, x)
         centroids = np.where(count[:, None] > 0, sums / np.maximum(1, count)[:, None], centroids)
-    apart = ((centroids[:, None, :8] - centroids[None, :, :8]) ** 2).sum(-1) if k == 1 else (centroids**2).sum(1)[:, None] - 2 * centroids @ centroids.T + (centroids**2).sum(1)
-    graph = np.argsort(apart, 1, kind="stable")[:, : min(k, DEGREE + 1)]
-    return Index(centroids, graph, np.linspace(0, k - 1, min(k, max(8, int(k**0.5)))).astype(int))
+    square = (centroids**2).sum(1)
+    parts = np.array_split(np.arange(k), max(1, k // 1000))
+    graph = np.concatenate([np.argsort(square - 2 * centroids[p] @ centroids.T, 1, kind="stable")[:, : min(k, DEGREE + 1)] for p in parts])
+    radius = float(np.median(np.sqrt(((x - centroids[near]) ** 2).sum(1))))
+    return Index(centroids, graph, np.linspace(0, k - 1, min(k, max(8, int(k**0.5)))).astype(int), radius)
+
 
+def _listed(rows: DataFrame, index: Index, ratio: float, most: int, tag: str, least: int = 1, wanted: int = 0, sizes: np.ndarray | None = None) -> DataFrame:
+    """(lists, id, embedding) of ``rows`` (id, embedding): the lists within ``ratio``, nearest first, at most ``most``.
 
-def _listed(rows: DataFrame, index: Index, ratio: float, most: int, tag: str) -> DataFrame:
-    """``rows`` (id, embedding) once for each of its lists: ``list``, id, embedding. The walks are done once: each row is written with the array of its lists."""
+    ``least`` lists are always there, and with ``sizes`` of the lists as many as hold ``wanted`` vectors, all lists if
+    need be. The walks are done once: the rows are written.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids, dist = index.nearest(_matrix(part.column(1)), most)
-                fits = dist <= ratio * dist[:, :1]
-                ends = np.concatenate([[0], np.cumsum(fits.sum(1))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[fits].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([lists, part.column(0), part.column(1)], names=["lists", "id", "embedding"])
-
-    found = written(rows.mapInArrow(task, "lists array<int>, id long, embedding array<double>"), tag)
-    return found.select(F.explode("lists").alias("list"), "id", "embedding")
+                x = _matrix(part.column(1))
+                ids, dist = index.nearest(x, most)
+                near = dist[:, :1] if sizes is None else np.maximum(dist[:, :1], index.radius)
+                fits = (dist <= ratio * near) | (np.arange(ids.shape[1]) < least) & np.isfinite(dist)
+                lists = [i[f] for i, f in zip(ids, fits, strict=True)]
+                if sizes is not None:
+                    for i in np.flatnonzero((sizes[ids] * fits).sum(1) < wanted).tolist():  # too few vectors there
+                        every = np.argsort(((index.centroids - x[i]) ** 2).sum(1), kind="stable")
+                        enough = int(np.searchsorted(np.cumsum(sizes[every]), wanted)) + 1
+                        lists[i] = np.concatenate([lists[i], np.setdiff1d(every[:enough], lists[i])])
+                ends = np.concatenate([[0], np.cumsum(list(map(len, lists)))]).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([column, part.column(0), part.column(1)], names=["lists", "id", "embedding"])
+
+    return written(rows.mapInArrow(task, "lists array<int>, id long, embedding array<double>"), tag)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, copy_ratio: float = COPY_RATIO, copies: int = COPIES, probe_ratio: float = PROBE_RATIO, probes: int = PROBES, probe_share: float = PROBE_SHARE, block: int = BLOCK, **options) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of the other vectors found for each of ``vectors`` (vec_id, embedding) that ``is_query`` holds for.
 
-    ``score`` is the Euclidean distance in double precision; nearest first, ties to the smaller vec_id; all candidates if
-    there are fewer. Rows that ``usable`` leaves out take no part. Without queries, or without vectors, no rows.
+    ``score`` is the Euclidean distance in double precision; nearest first, ties to the smaller vec_id; each query has k
+    rows, or all candidates if there are fewer. Rows that ``usable`` leaves out take no part. Without queries, or without vectors, no rows.
     """
     rows = usable(vectors)
     index = fit(rows, **options)
     if index is None:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     probes = max(probes, math.ceil(probe_share * len(index.centroids)))
-    if len(index.centroids) <= 4:
-        probes, probe_ratio = 4, float("inf")  # a few short lists: all of them
     postings = _listed(rows.select("vec_id", "embedding"), index, copy_ratio, copies, "postings")
-    queries = _listed(rows.where(is_query).select("vec_id", "embedding"), index, probe_ratio, probes, "probes")
+    # vectors by their nearest list, so none counts twice; a row for each list
+    sizes = np.zeros(len(index.centroids), np.int64)
+    for row in postings.groupBy(F.get("lists", F.lit(0)).alias("list")).count().collect():
+        sizes[row["list"]] = row["count"]
+    queries = _listed(rows.where(is_query).select("vec_id", "embedding"), index, probe_ratio, probes, "probes", LEAST, k + 1, sizes)
+    postings, queries = (x.select(F.explode("lists").alias("list"), "id", "embedding") for x in (postings, queries))
 
     # both sides of a list in blocks; the counts have a row for each list, whatever the input
     parts = lambda rows, name: rows.groupBy("list").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
