@@ -3,8 +3,8 @@
 A logistic regression over the distinct words of a text and the beginnings of its longer words, so that inflected and
 compounded forms count. For each labelled sentence with an identity term, the term is
 swapped for others of its kind and for a neutral word; the squared change of the sentence's score, by the words and
-their beginnings that go and come, is penalised, so a mere mention of a group moves no score. Copies of one text share one unit of weight, so a labelling slip on a much copied text
-teaches nothing.
+their beginnings that go and come, is penalised, so a mere mention of a group moves no score. Copies of one text share one
+unit of weight, so a labelling slip on a much copied text teaches nothing.
 """
 
 from __future__ import annotations
@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytewords import IS_ALNUM, LOWER, alnum_words, mixed, runs, slices, span_hashes, word_hash
+from .common import free_name, written
 
 #: Labelled rows that the classifier is fitted on, at most: those of the smallest hash of their doc_id.
 SAMPLE = 6000
 #: Bytes of the beginnings of words that are features besides whole words.
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.7
+#: A text's whole weight in sums of whole numbers, which are the same in any order.
+UNIT = 1 << 20
 #: Identity terms by kind.
 IDENTITY = (
     ("women", "men", "girls", "boys", "transgender"),
@@ -148,11 +151,53 @@ def _families(least: list[np.ndarray]) -> np.ndarray:
     return np.bincount(of)[of] if len(of) else np.ones(0)
 
 
+def _counter(worth_of: dict[bytes, float]):
+    """(word, worth, toxic) of batches (toxic, least, words): what the texts with a feature weigh, and the toxic ones, in whole units."""
+    units = {x: round(w * UNIT) for x, w in worth_of.items()}
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+            if not words:
+                continue
+            weight = np.array([units[x] for x in batch.column(1).to_pylist()], np.int64)
+            toxic = weight * (batch.column(0).to_numpy() > 0)
+            n = list(map(len, words))
+            word, at = np.unique(np.concatenate(words), return_inverse=True)
+            sums = [np.bincount(at, np.repeat(x, n), len(word)).astype(np.int64) for x in (weight, toxic)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (word, *sums)], names=["word", "worth", "toxic"])
+
+    return task
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, other, mask, n): how often each kind of swap occurs."""
+    for batch in batches:
+        pairs = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]]).reshape(-1, 3)
+        kinds, n = np.unique(pairs, axis=0, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*np.ascontiguousarray(kinds.T), n)], names=["term", "other", "mask", "n"])
+
+
+def _places_in(chosen: np.ndarray):
+    """(toxic, least, places) of batches (toxic, least, words): where the features of a text that are ``chosen`` stand there."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = []
+            for words in batch.column(2).to_pylist():
+                words = np.frombuffer(words, np.uint64)
+                at = np.minimum(np.searchsorted(chosen, words), max(0, len(chosen) - 1))
+                places.append((at[chosen[at] == words] if len(chosen) else at[:0]).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.binary())], names=["toxic", "least", "places"])
+
+    return task
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swap_penalty: float = 10.0, ridge: float = 0.02, support: float = 4.0, chi: float = 16.0) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), without the held-out ones.
 
-    At most ``sample`` labelled rows are used, whatever the number of labels and of rows of a doc_id; only their word hashes come to the driver.
-    Null labels don't count; of several labels of a doc_id the largest holds. Without labels of both kinds, all texts get
+    At most ``sample`` labelled rows are used, whatever the number of labels and of rows of a doc_id; only their labels and
+    the places of the features that the model keeps come to the driver. Null labels don't count; of several labels of a doc_id the largest holds. Without labels of both kinds, all texts get
     the labels' mean.
     """
     chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -161,33 +206,42 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swap_penalty:
     named = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").join(F.broadcast(chosen), "doc_id")
     keys = named.select("doc_id", "hash").distinct().orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash").limit(sample)
     texts = named.join(F.broadcast(keys), ["doc_id", "hash"]).groupBy("doc_id", "hash").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
-    rows = texts.select("text", "toxic").mapInArrow(_featurise, "toxic int, words binary, least binary, pairs binary").collect()
-    rows.sort(key=lambda r: (bytes(r.least), bytes(r.words), r.toxic))
-    y = np.array([min(1, max(0, r.toxic)) for r in rows], float)
-    none = np.zeros(0, np.uint64)
-    if not 0 < y.sum() < len(y):
-        rate = (y.sum() + 1) / (len(y) + 2)
-        return Model(none, np.zeros(0), float(np.log(rate / (1 - rate))))
-    worth = 1 / _families([np.frombuffer(r.least, np.uint64) for r in rows])
-    lists = [np.frombuffer(r.words, np.uint64) for r in rows]
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in lists])
-    vocab, col = np.unique(np.concatenate(lists), return_inverse=True)
-
-    # words that go with the label
-    n1, n = float(worth @ y), float(worth.sum())
-    with_word, toxic_word = np.bincount(col, worth[row], len(vocab)), np.bincount(col, (worth * y)[row], len(vocab))
+    rows = written(texts.select("text", "toxic").mapInArrow(_featurise, "toxic int, words binary, least binary, pairs binary"), "labelled")
+
+    # the driver holds the labels, four hashes of each text, and what the following aggregates leave
+    marks = rows.select(F.least(F.greatest("toxic", F.lit(0)), F.lit(1)).cast("double"), "least").toArrow()
+    labels_of, least = marks.column(0).to_numpy(), marks.column(1).to_pylist()
+    if not 0 < labels_of.sum() < len(labels_of):
+        rate = (labels_of.sum() + 1) / (len(labels_of) + 2)
+        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(rate / (1 - rate))))
+    worth_of = dict(zip(least, 1 / _families([np.frombuffer(x, np.uint64) for x in least]), strict=True))
+    all_worth = np.array([worth_of[x] for x in least])
+    n1, n = float(np.sort(all_worth * labels_of).sum()), float(np.sort(all_worth).sum())
+
+    # features that go with the label
+    with_word, toxic_word = F.col("worth") / UNIT, F.col("toxic") / UNIT
     expected = with_word * n1 / n
-    stat = (toxic_word - expected) ** 2 / (expected * (1 - n1 / n) * np.maximum(1e-9, 1 - with_word / n) + 1e-9)
-    pairs = np.concatenate([np.frombuffer(r.pairs, np.uint64).reshape(-1, 3) for r in rows])
-    chosen_words = np.union1d(vocab[(with_word >= support) & (stat >= chi)], pairs[:, :2].ravel())
-    place = np.minimum(np.searchsorted(chosen_words, vocab), max(0, len(chosen_words) - 1))
-    use = np.flatnonzero(chosen_words[place] == vocab) if len(chosen_words) else np.zeros(0, int)
-    kept = np.isin(col, use)
-    row, col = row[kept], place[col[kept]]
+    stat = F.pow(toxic_word - expected, 2) / (expected * (1 - n1 / n) * F.greatest(F.lit(1e-9), 1 - with_word / n) + 1e-9)
+    totals = rows.select("toxic", "least", "words").mapInArrow(_counter(worth_of), "word long, worth long, toxic long").groupBy("word").agg(F.sum("worth").alias("worth"), F.sum("toxic").alias("toxic"))
+    going = totals.where((with_word >= support) & (stat >= chi)).select("word").toArrow().column(0).to_numpy().view(np.uint64)
+    kinds = rows.select("pairs").mapInArrow(_pair_counts, "term long, other long, mask long, n long").groupBy("term", "other", "mask").agg(F.sum("n").alias("n")).toArrow()
+    often = kinds.column(3).to_numpy()
+    kinds = np.stack([kinds.column(i).to_numpy().view(np.uint64) for i in range(3)], 1)
+    order = np.lexsort(kinds.T)
+    kinds, often = kinds[order], often[order]
+    chosen_words = np.union1d(going, kinds[:, :2].ravel())
     k = len(chosen_words)
 
+    # the texts in these features alone
+    found = rows.select("toxic", "least", "words").mapInArrow(_places_in(chosen_words), "toxic int, least binary, places binary").toArrow().to_pylist()
+    found.sort(key=lambda r: (r["least"], r["places"], r["toxic"]))
+    y = np.array([min(1, max(0, r["toxic"])) for r in found], float)
+    worth = np.array([worth_of[r["least"]] for r in found])
+    lists = [np.frombuffer(r["places"], np.int32) for r in found]
+    row = np.repeat(np.arange(len(lists)), list(map(len, lists)))
+    col = np.concatenate(lists)
+
     # each kind of swap: how often it occurs, and the features of the model that it removes and adds
-    kinds, often = np.unique(pairs, axis=0, return_counts=True)
     parts, entries = _parts_of_terms(), []
     for i, (term, other, mask) in enumerate(kinds.tolist()):
         entries += [(i, f, sign) for x, at, sign in ((term, 0, -1.0), (other, 8, 1.0)) for bit, f in enumerate(parts[x]) if mask >> at + bit & 1]
@@ -232,4 +286,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with all their columns."""
-    return scored(docs, fit(docs, labels, **options), "__score").where(F.col("__score") < threshold).drop("__score")
+    score = free_name(docs, "__score")
+    return scored(docs, fit(docs, labels, **options), score).where(F.col(score) < threshold).drop(score)
