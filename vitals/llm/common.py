@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,21 +17,57 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one in local mode; on a cluster an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="spark-llm-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+#: Folders written inside the innermost ``scratch``.
+_scratches: list[list[str]] = []
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder. It cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scratches:
+        _scratches[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``written`` wrote inside. What is returned from inside has to be written elsewhere before."""
+    _scratches.append([])
+    try:
+        yield
+    finally:
+        for path in _scratches.pop():
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def outside(df: DataFrame, tag: str) -> DataFrame:
+    """As ``written``, but kept when the ``scratch`` around it ends."""
+    out = written(df, tag)
+    if _scratches:
+        (_scratches[-2] if len(_scratches) > 1 else []).append(_scratches[-1].pop())
+    return out
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -38,19 +76,34 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+#: A key is hot with more than this share of all rows, so no more than 1 / HOT keys are.
+HOT = 1e-4
+
+
+def with_hot_keys(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has a row for each of ``keys`` and in ``n`` how many rows have them.
+
+    Rows of hot keys meet a broadcast table of at most 1 / HOT rows, so that no task gets all rows of one; the others are
+    shuffled. ``table`` should be written.
+    """
+    hot, rest = table.where(F.col(n) > HOT * total), table.where(F.col(n) <= HOT * total)
+    few = F.broadcast(hot)
+    return rows.join(few, keys).unionByName(rows.join(few, keys, "left_anti").join(rest, keys))
+
+
 def integer_names(df: DataFrame, columns: list[str], tag: str) -> DataFrame:
-    """Each distinct tuple of the integer ``columns`` with ``name``, a dense integer from 0.
+    """Each distinct tuple of the integer ``columns`` with ``name``, a dense integer from 0, and ``n_rows``, its number of rows.
 
     Tuples go to hash buckets, are sorted inside, and a name is the bucket's offset plus the rank: a function of the set
     of tuples and the number of buckets alone. Tuples are distinct before they are dealt, so no bucket is hot.
     """
     buckets = 4 * shuffle_partitions(df.sparkSession)
-    tuples = df.select(*columns).distinct().withColumn("__bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)))
+    tuples = df.groupBy(*columns).agg(F.count("*").alias("n_rows")).withColumn("__bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)))
     ranks = written(tuples.withColumn("__rank", F.row_number().over(Window.partitionBy("__bucket").orderBy(*columns))), tag)
     ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranks.groupBy("__bucket").agg(F.max("__rank").alias("__size"))  # a row for each bucket, whatever the input
     offsets = sizes.select("__bucket", F.coalesce(F.sum("__size").over(ahead), F.lit(0)).alias("__offset"))
-    return ranks.join(F.broadcast(offsets), "__bucket").select(*columns, (F.col("__offset") + F.col("__rank") - 1).cast("long").alias("name"))
+    return ranks.join(F.broadcast(offsets), "__bucket").select(*columns, (F.col("__offset") + F.col("__rank") - 1).cast("long").alias("name"), "n_rows")
 
 
 def components(edges: DataFrame, tag: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, integer_names, written
+from .common import SPACE, free_name, integer_names, with_hot_keys, written
 
 BLOCK = 2048
 KEY = ["doc_id", "sha"]
@@ -45,15 +45,17 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     first = written(ranked.groupBy(*KEY, "n", "pos", "hash", "rank").agg(F.count("*").alias("copies")), "blocks")
     copies = first.where("pos = 0").select(*KEY, "copies")
     names = integer_names(first, ["hash", "rank"], "names-0")
-    level = first.join(names, ["hash", "rank"]).select(*KEY, "n", "pos", "name")
-    most, depth = first.agg(F.max("n")).first()[0] or 0, 0
+    total, most = first.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
+    depth = 0
+    level = with_hot_keys(first, names, ["hash", "rank"], "n_rows", total).select(*KEY, "n", "pos", "name")
     found = level.where("n = 1").select(*KEY, F.lit(0).alias("level"), "name")
     while most > 1:
         depth, most = depth + 1, (most + 1) // 2
         half = lambda odd: F.max(F.when(F.col("pos") % 2 == odd, F.col("name")))
         pairs = level.where("n > 1").groupBy(*KEY, "n", F.floor(F.col("pos") / 2).cast("int").alias("p")).agg(half(0).alias("l"), F.coalesce(half(1), F.lit(-1)).alias("r"))
         pairs = written(pairs.select(*KEY, F.floor((F.col("n") + 1) / 2).cast("int").alias("n"), F.col("p").alias("pos"), "l", "r"), f"pairs-{depth}")
-        level = written(pairs.join(integer_names(pairs, ["l", "r"], f"names-{depth}"), ["l", "r"]).select(*KEY, "n", "pos", "name"), f"level-{depth}")
+        named = with_hot_keys(pairs, integer_names(pairs, ["l", "r"], f"names-{depth}"), ["l", "r"], "n_rows", pairs.count())
+        level = written(named.select(*KEY, "n", "pos", "name"), f"level-{depth}")
         found = found.unionByName(level.where("n = 1").select(*KEY, F.lit(depth).alias("level"), "name"))
     one = [F.col(f"c.{k}").eqNullSafe(F.col(f"f.{k}")) for k in KEY]
     return written(found.alias("f").join(copies.alias("c"), one[0] & one[1]).select("f.*", "copies"), "identities")
@@ -66,8 +68,8 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     is kept. Empty and null texts are equal. An empty table gives no rows. Other columns of ``docs`` are not read.
     """
     rows = identities(docs, block)
-    groups = rows.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    rows = rows.join(groups, ["level", "name"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    groups = rows.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"), F.count("*").alias("n_rows"))
+    rows = with_hot_keys(rows, written(groups, "groups"), ["level", "name"], "n_rows", rows.count()).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return rows.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
@@ -75,8 +77,9 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
     # one string key, so that the join and the window share one exchange of the texts
+    name, nth = free_name(docs, "__key"), free_name(docs, "__nth")
     key = lambda sha: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
-    kept = exact_dedup(docs, block).where("kept").select(key(F.col("text_sha256")).alias("__key"))
-    rows = docs.withColumn("__key", key(F.sha2(normalised(F.col("text")), 256))).join(kept, "__key", "left_semi")
-    order = Window.partitionBy("__key").orderBy("text")
-    return rows.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*docs.columns)
+    kept = exact_dedup(docs, block).where("kept").select(key(F.col("text_sha256")).alias(name))
+    rows = docs.withColumn(name, key(F.sha2(normalised(F.col("text")), 256))).join(kept, name, "left_semi")
+    order = Window.partitionBy(name).orderBy("text")
+    return rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)
