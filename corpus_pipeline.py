@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vitals.llm import exact_dedup, ngram_join, packing, source_mix, toxicity
-from vitals.llm.common import written
+from vitals.llm.common import outside, scratch
 from vitals.llm.queries import table, tokenizer_path
 
 
@@ -53,5 +53,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        with scratch(spark):  # what the stage wrote on its way goes
+            docs = outside(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,6 +1,7 @@
 import datetime as dt
 import zoneinfo
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,3 +206,31 @@ def test_migration_and_drift(spark):
     assert report == {"n": ("widened", False), "s": ("removed", True), "t": ("added", False), "x": ("added", False)}
     with pytest.raises(ValueError, match="breaking"):
         tables.gate(tables.drift(tables.fields(spark, df.schema), tables.fields(spark, out.schema)))
+
+
+def test_large_partitions_are_compacted_in_parts(spark, tmp_path):
+    path, stage = str(tmp_path / "t"), str(tmp_path / "s")
+    spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"), F.when(F.col("id") < 59_000, 0).otherwise(1).alias("p")).repartition(12).write.partitionBy("p").parquet(path)
+    tables.compact(spark, path, ["p"], stage, 1 << 20)
+    sizes = {r.p: (r.n_files, r.bytes) for r in tables.partition_sizes(spark.read.parquet(path), ["p"]).collect()}
+    assert spark.read.parquet(path).agg(F.count("*"), F.countDistinct("id")).first()[:] == (60_000, 60_000)
+    assert sizes[1][0] == 1 and 2 <= sizes[0][0] <= 2 * -(-sizes[0][1] // (1 << 20))
+    before = {r.f for r in spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    tables.compact(spark, path, ["p"], stage, 1 << 30 if sizes[0][0] == 1 else 1 << 18)
+    assert spark.read.parquet(path).count() == 60_000 and before
+
+
+def test_envelopes_of_empty_results(spark):
+    rows = spark.createDataFrame([(1, "a", 5), (1, "a", 3)], "user_id long, data_type string, x long")
+    wanted = spark.createDataFrame([(1, "a"), (2, "b")], "user_id long, data_type string")
+    got = {r.user_id: ([x.x for x in r.records], r["count"]) for r in query_api.envelope(rows, ["user_id", "data_type"], wanted).collect()}
+    assert got == {1: ([3, 5], 2), 2: ([], 0)}
+
+
+def test_percentiles_of_many_values(spark):
+    rng = np.random.default_rng(1)
+    values = {"a": rng.integers(0, 5000, 4000).tolist(), "b": [7] * 300, None: rng.integers(-50, 50, 999).tolist()}
+    df = spark.createDataFrame([(k, x) for k, xs in values.items() for x in xs], "k string, x long")
+    for r in metrics.exact_percentiles(df, "x", ["k"], {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}, parts=8).collect():
+        s = sorted(values[r.k])
+        assert [r.p50, r.p95, r.p99, r.p100] == [s[min(int(len(s) * q), len(s) - 1)] for q in (0.5, 0.95, 0.99, 1.0)]

@@ -50,3 +50,54 @@ def test_job_upserts_late_data_and_repeats(spark, tmp_path):
         assert picked(spark.read.parquet(f"{root}/{kind}")) == picked(job.batch_equivalent(spark, everything, kind))
     assert spark.read.parquet(f"{root}/errors").count() == 1
     assert spark.read.parquet(f"{root}/metrics").agg(F.sum("records"), F.sum("errors")).first()[:] == (len(one) + len(two) + 2, 1)
+
+
+def test_gate_stops_a_breaking_schema(spark, tmp_path):
+    root, source = str(tmp_path / "out"), str(tmp_path / "in")
+    spark.createDataFrame(rows(1), SCHEMA).write.parquet(source)
+    job.start(spark.readStream.schema(SCHEMA).parquet(source), root, f"{root}/c1", ("daily",)).awaitTermination()
+    narrower = SCHEMA.replace("value double", "value string")
+    with pytest.raises(ValueError, match="breaking"):
+        job.start(spark.readStream.schema(narrower).parquet(source), root, f"{root}/c2", ("daily",))
+
+
+def test_state_of_several_batches_merges(spark):
+    """The timer's running statistics over pandas batches equal those over all rows."""
+    import numpy as np
+    import pandas as pd
+
+    class Handle:
+        def __init__(self):
+            self.kept, self.timers = None, []
+
+        def getValueState(self, *_):
+            return self
+
+        def exists(self):
+            return self.kept is not None
+
+        def get(self):
+            return self.kept
+
+        def update(self, kept):
+            self.kept = kept
+
+        def clear(self):
+            self.kept = None
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    rng = np.random.default_rng(0)
+    data = pd.DataFrame({"at_ms": rng.integers(0, 50, 300), "sample_id": np.arange(300), "value": 1e6 + rng.random(300)})
+    data.loc[::7, "value"] = np.nan
+    closer, handle = calendar.WindowCloser(), Handle()
+    closer.init(handle)
+    key = (1, "heartRate", "UTC", 0, 99)
+    for part in (data[:100], data[100:101], data[101:]):
+        list(closer.handleInputRows(key, iter([part[:40], part[40:]]), None))
+    (out,) = closer.handleExpiredTimer(key, None, None)
+    good = data.dropna().sort_values(["at_ms", "sample_id"])
+    row = out.iloc[0]
+    assert (row["count"], row.min_value, row.max_value, row.first_value, row.last_value) == (len(good), good.value.min(), good.value.max(), good.value.iloc[0], good.value.iloc[-1])
+    assert row.sum_value == pytest.approx(good.value.sum()) and row.stddev_value == pytest.approx(good.value.std(ddof=0), rel=1e-6) and set(handle.timers) == {99}

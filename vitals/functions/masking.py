@@ -12,7 +12,7 @@ _NAMES = "|".join(sorted((f.replace("_", "[_-]") if "_" in f else f for f in SEN
 
 
 def mask_text(text: Column) -> Column:
-    """Values after key=value, key: value and "key": "value" of sensitive names, whatever their case."""
+    """Values after key=value and "key": "value" of sensitive names, whatever their case."""
     quoted = F.regexp_replace(text, rf"""(?i)(["'](?:{_NAMES})["']\s*:\s*["'])[^"']*(["'])""", f"$1{MASK}$2")
     return F.regexp_replace(quoted, rf"(?i)\b((?:{_NAMES})\s*=\s*)[^\s,;&]+", f"$1{MASK}")
 

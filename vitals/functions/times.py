@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..rules import small_table
+
 UNITS = {"daily": "day", "weekly": "week", "monthly": "month"}
 _STEP = {"daily": "1 day", "weekly": "7 days", "monthly": "1 month"}
 
@@ -105,7 +107,7 @@ def parse_date(text: Column) -> Column:
 def zones(spark: SparkSession) -> DataFrame:
     """(zone): the valid zone names, a few hundred."""
     names = sorted(z for z in zoneinfo.available_timezones() if "/" in z or z == "UTC")
-    return spark.createDataFrame([(z,) for z in names if not z.startswith(("posix/", "right/"))], "zone string")
+    return small_table(spark, "zone", [(z,) for z in names if not z.startswith(("posix/", "right/"))])
 
 
 def with_zone(df: DataFrame, column: str = "timezone", default: str = "UTC", into: str = "resolved_timezone") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import Window, days_in_month, iso_week, iso_year, local_window, utc_window
 
-PARTIALS = ("n", "total", "squares", "low", "high", "first", "last")
+PARTIALS = ("n", "total", "mean", "m2", "low", "high", "first", "last")
 
 
 def statistics(value: str = "value", order: tuple[str, ...] = ("start_ts", "sample_id")) -> list[Column]:
@@ -48,25 +48,33 @@ def fixed_aggregate(df: DataFrame, kind: str, aligned: bool = True) -> DataFrame
 
 
 def partials(df: DataFrame, keys: list[Column | str]) -> DataFrame:
-    """Mergeable sums of ``df``: n, total, squares, low, high, first, last."""
-    at = F.struct("start_ts", "sample_id", "value")
-    v = F.col("value")
-    return df.groupBy(*keys).agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.sum(v * v).alias("squares"), F.min(v).alias("low"), F.max(v).alias("high"), F.min(at).alias("first"), F.max(at).alias("last"))
+    """Mergeable parts of ``df``: n, total, mean, m2 (squared distances from the mean), low, high, first, last; null and NaN values don't count."""
+    v = F.when(~F.isnan("value"), F.col("value"))
+    at = F.when(v.isNotNull(), F.struct("start_ts", "sample_id", "value"))
+    return df.groupBy(*keys).agg(
+        F.count(v).alias("n"), F.sum(v).alias("total"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"), F.min(v).alias("low"), F.max(v).alias("high"), F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("rows"),
+    )
 
 
 def merged(parts: DataFrame, keys: list[Column | str]) -> DataFrame:
-    """Partial sums of coarser keys."""
-    return parts.groupBy(*keys).agg(*[f(c).alias(c) for f, c in ((F.sum, "n"), (F.sum, "total"), (F.sum, "squares"), (F.min, "low"), (F.max, "high"), (F.min, "first"), (F.max, "last"))])
+    """Parts of coarser keys. Squares are taken around the merged mean, which a first aggregate gives, so that nothing cancels."""
+    parts = parts.select(*keys, *PARTIALS, "rows")
+    names = parts.columns[: -len(PARTIALS) - 1]
+    means = parts.groupBy(*names).agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("__mean"))
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"m.{c}")) for c in names]
+    rows = parts.alias("p").join(means.alias("m"), same).select("p.*", "__mean")
+    apart = F.col("mean") - F.col("__mean")
+    plain = [f(c).alias(c) for f, c in ((F.sum, "n"), (F.sum, "total"), (F.min, "low"), (F.max, "high"), (F.min, "first"), (F.max, "last"), (F.sum, "rows"))]
+    return rows.groupBy(*names).agg(*plain, F.max("__mean").alias("mean"), F.sum(F.col("m2") + F.col("n") * apart * apart).alias("m2"))
 
 
 def finished(parts: DataFrame) -> DataFrame:
-    """Statistics of partial sums."""
-    mean = F.col("total") / F.col("n")
+    """Statistics of merged parts."""
     return parts.withColumns({
-        "count": F.col("n"), "sum_value": F.col("total"), "min_value": F.col("low"), "max_value": F.col("high"), "avg_value": mean,
-        "stddev_value": F.sqrt(F.greatest(F.lit(0.0), F.col("squares") / F.col("n") - mean * mean)),
-        "first_value": F.col("first.value"), "last_value": F.col("last.value"),
-    }).drop(*PARTIALS)
+        "count": F.col("n"), "sum_value": F.col("total"), "min_value": F.col("low"), "max_value": F.col("high"), "avg_value": F.col("mean"),
+        "stddev_value": F.coalesce(F.sqrt(F.try_divide(F.greatest(F.lit(0.0), "m2"), F.col("n"))), F.lit(0.0)),
+        "first_value": F.col("first.value"), "last_value": F.col("last.value"), "record_count": F.col("rows"),
+    }).drop(*PARTIALS, "rows")
 
 
 def mean_of_daily_means(daily: DataFrame, keys: list[Column | str]) -> DataFrame:

@@ -27,17 +27,31 @@ def latency(df: DataFrame, column: str, *keys: str) -> DataFrame:
     return rows.select(*keys, "n", "least", "mean", "most", F.get("p", F.lit(0)).alias("p50"), F.get("p", F.lit(1)).alias("p95"), F.get("p", F.lit(2)).alias("p99"))
 
 
-def exact_percentiles(df: DataFrame, column: str, keys: list[str], shares: dict[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, column: str, keys: list[str], shares: dict[str, float], parts: int = 64) -> DataFrame:
     """Values at index min(floor(n q), n - 1) of each key's sorted values.
 
-    Equal values are counted first; the running count is over distinct values of a key, not over rows.
+    Equal values are counted first. A key's distinct values are cut into about ``parts`` ranges at approximate quantiles,
+    which are merged from sketches; sums by range tell which ranges hold the wanted ranks, and only those are sorted. So
+    a key with many values is the work of many tasks.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("__n"))
+    names = [*keys, column]
+    values = df.where(F.col(column).isNotNull()).groupBy(*names).agg(F.count("*").alias("__n"))
+    cuts = values.groupBy(*keys).agg(F.percentile_approx(column, [i / parts for i in range(1, parts)], 20 * parts).alias("__cuts"))
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    ranged = values.alias("v").join(cuts.alias("c"), same("v", "c")).select(*[f"v.{c}" for c in names], "__n", F.size(F.filter("__cuts", lambda x: x < F.col(column))).alias("__range"))
+    sums = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__size"))
     w = Window.partitionBy(*keys)
-    upto = F.sum("__n").over(w.orderBy(column))
-    rows = values.withColumns({"__upto": upto, "__all": F.sum("__n").over(w)})
+    sums = sums.withColumns({"__before": F.sum("__size").over(w.orderBy("__range")) - F.col("__size"), "__all": F.sum("__size").over(w)})
     at = lambda q: F.least(F.floor(F.col("__all") * q), F.col("__all") - 1) + 1
-    return rows.groupBy(*keys).agg(*[F.min(F.when(F.col("__upto") >= at(q), F.col(column))).alias(name) for name, q in shares.items()])
+    holds = F.lit(False)
+    for q in shares.values():
+        holds = holds | ((F.col("__before") < at(q)) & (at(q) <= F.col("__before") + F.col("__size")))
+    held = sums.where(holds)
+    rows = ranged.alias("r").join(held.alias("h"), [*same("r", "h"), F.col("r.__range") == F.col("h.__range")]).select(*[f"r.{c}" for c in names], "r.__range", "__n", "__before", "__size", "__all")
+    upto = F.col("__before") + F.sum("__n").over(Window.partitionBy(*keys, "__range").orderBy(column))
+    rows = rows.withColumn("__upto", upto)
+    pick = lambda q: F.min(F.when((F.col("__before") < at(q)) & (at(q) <= F.col("__before") + F.col("__size")) & (F.col("__upto") >= at(q)), F.col(column)))
+    return rows.groupBy(*keys).agg(*[pick(q).alias(name) for name, q in shares.items()])
 
 
 def window_summary(aggregates: DataFrame, latency_column: str = "latency_ms") -> DataFrame:
@@ -51,11 +65,20 @@ def window_summary(aggregates: DataFrame, latency_column: str = "latency_ms") ->
     return rows.join(cuts.withColumnRenamed("window_type", "__type"), rows["window_type"].eqNullSafe(F.col("__type")), "left").drop("__type")
 
 
-def late_events(df: DataFrame, arrival: Column, ts: str, delay_seconds: int, source: str) -> DataFrame:
-    """``df`` with ``watermark`` (of the events that arrived before from the same ``source``), ``late`` and ``lateness`` in seconds."""
-    w = Window.partitionBy(source).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    mark = F.max(F.unix_seconds(ts)).over(w) - delay_seconds
-    rows = df.withColumn("watermark", mark)
+def late_events(df: DataFrame, arrival: Column, ts: str, delay_seconds: int, source: str, span: Column | None = None) -> DataFrame:
+    """``df`` with ``watermark`` (of the events that arrived before from the same ``source``), ``late`` and ``lateness`` in seconds.
+
+    ``span`` cuts a source's arrivals into ranges, the hour of arrival say, and must not fall as ``arrival`` grows. The
+    largest time of all ranges before is carried from one row a range, so events are sorted within a range alone.
+    """
+    rows = df.withColumn("__span", F.lit(0) if span is None else span)
+    ahead = Window.partitionBy(source).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = rows.groupBy(source, "__span").agg(F.max(F.unix_seconds(ts)).alias("__max"))
+    spans = spans.withColumn("__before", F.max("__max").over(ahead)).drop("__max")
+    same = F.col(f"e.{source}").eqNullSafe(F.col(f"s.{source}")) & F.col("e.__span").eqNullSafe(F.col("s.__span"))
+    rows = rows.alias("e").join(spans.alias("s"), same).select("e.*", "__before")
+    inside = Window.partitionBy(source, "__span").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("watermark", F.greatest(F.col("__before"), F.max(F.unix_seconds(ts)).over(inside)) - delay_seconds).drop("__span", "__before")
     return rows.withColumns({"late": F.coalesce(F.unix_seconds(ts) < F.col("watermark"), F.lit(False)), "lateness": F.greatest(F.lit(0), F.coalesce(F.col("watermark") - F.unix_seconds(ts), F.lit(0)))})
 
 
@@ -70,3 +93,16 @@ def window_bookkeeping(rows: DataFrame, width_seconds: int, lateness_seconds: in
     closed = F.coalesce(F.col("watermark") >= start + width_seconds, F.lit(False))
     gone = F.coalesce(F.col("watermark") >= start + width_seconds + lateness_seconds, F.lit(False))
     return rows.groupBy(start.cast("long").alias("window_start")).agg(F.count_if(~closed).alias("on_time"), F.count_if(closed & ~gone).alias("late_updates"), F.count_if(gone).alias("dropped"))
+
+
+def sink_statistics(batches: DataFrame) -> DataFrame:
+    """Totals of a job's metric rows (batch, records, errors, upserts)."""
+    return batches.agg(F.count("*").alias("batches"), F.sum("records").alias("records"), F.sum("errors").alias("errors"), F.sum("upserts").alias("upserts"))
+
+
+def rates(df: DataFrame, ts: str = "start_ts", width: str = "5 minutes", seconds: int = 300) -> DataFrame:
+    """By window of ``df`` (reject_reason, late): records a second, errors in percent of the valid, windows' records, late share in percent."""
+    n, bad = F.count("*"), F.count("reject_reason")
+    return df.groupBy(F.window(ts, width).start.alias("window_start")).agg(
+        (n / seconds).alias("per_second"), F.try_divide(bad * 100, n - bad).alias("error_percent"), n.alias("records_per_window"), (F.count_if("late") * 100 / n).alias("late_percent"),
+    )

@@ -79,7 +79,7 @@ def outliers(df: DataFrame) -> DataFrame:
 
 def alerts(metrics: DataFrame, limits: dict[str, float] = rules.ALERT_LIMITS) -> DataFrame:
     """(window_start, alert, value) of metric rows (window_start, metric, value) beyond their limits; throughput alerts below its own."""
-    table = metrics.sparkSession.createDataFrame(list(limits.items()), "metric string, limit_value double")
+    table = rules.small_table(metrics.sparkSession, "metric, limit_value", list(limits.items()))
     rows = metrics.join(F.broadcast(table), "metric")
     beyond = F.when(F.col("metric") == "throughput", F.col("value") < F.col("limit_value")).otherwise(F.col("value") > F.col("limit_value"))
     return rows.where(beyond).select("window_start", F.col("metric").alias("alert"), "value")

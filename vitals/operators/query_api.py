@@ -135,10 +135,17 @@ def top_records_each(table: DataFrame, requests: DataFrame, sort_by: str = "max_
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("user_id", "data_type", "start", "end").orderBy(*_sort(sort_by, order)))).where(F.col("rank") <= limit)
 
 
-def envelope(rows: DataFrame, keys: list[str], limit: int = MAX_LIMIT) -> DataFrame:
-    """{keys, records, count} of limited results; an empty result gives no row."""
+def envelope(rows: DataFrame, keys: list[str], requested: DataFrame | None = None) -> DataFrame:
+    """{keys, records, count}: all records of each of ``keys``, in order. One response holds a date range of one user and type.
+
+    Each of ``requested`` (keys) has a row, an empty result being no records and a count of 0; without it, what has records.
+    """
     record = F.struct(*[c for c in rows.columns if c not in keys])
-    return rows.limit(limit).groupBy(*keys).agg(F.sort_array(F.collect_list(record)).alias("records"), F.count("*").alias("count"))
+    found = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(record)).alias("records"), F.count("*").alias("count"))
+    if requested is None:
+        return found
+    every = requested.select(*keys).distinct().join(found, keys, "left")
+    return every.withColumns({"records": F.coalesce("records", F.array().cast(found.schema["records"].dataType)), "count": F.coalesce("count", F.lit(0)).cast("long")})
 
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -1 +1,3 @@
 """Queries over the driver's tables."""
+
+from . import registry, storage_queries  # noqa: F401  the second adds its queries to the first's

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,8 @@ from ..sources import tables
 from ..streaming import calendar, job
 from . import views as v
 
+#: Whose aggregates the parameterised queries ask for.
+USER, BUYER = 0, 8
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -66,7 +67,7 @@ def checked(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("f1_flatten", "SELECT 'device-' || user_id AS device_id, CAST(user_id AS VARCHAR) AS user_id, CAST(sample_id AS VARCHAR) AS sample_id, data_type, value, 'count' AS unit, start_date, end_date, timezone, 'ko_KR' AS locale FROM samples WHERE user_id % 50 <> 7", "samples")
 def f1(spark, sf):
-    rows = ingest.flatten(ingest.sanitise(v.payloads(spark, sf)), F.lit(v.AS_OF_MS))
+    rows = ingest.flatten(ingest.sanitise(v.stored_payloads(spark, sf)), F.lit(v.AS_OF_MS))
     return rows.select("device_id", "user_id", "sample_id", "data_type", "value", "unit", "start_date", "end_date", "timezone", F.try_element_at("metadata", F.lit("locale")).alias("locale"))
 
 
@@ -162,7 +163,7 @@ def st4_epoch(spark, sf):
 def a2(spark, sf):
     parts = aggregate.partials(v.samples(spark, sf), ["user_id", "data_type", F.to_date("start_ts").alias("day")])
     rows = aggregate.finished(aggregate.merged(parts, ["user_id", "data_type"]))
-    return rounded(rows).withColumn("record_count", F.col("count"))
+    return rounded(rows)
 
 
 @query("a3_rollup_to_month", "SELECT user_id, data_type, CAST(year(start_ts) AS INTEGER) AS year, CAST(month(start_ts) AS INTEGER) AS month, count(*) AS count, round(sum(value), 7) AS sum_value, round(stddev_pop(value), 3) AS stddev_value FROM samples GROUP BY 1, 2, 3, 4", "samples")
@@ -404,38 +405,35 @@ def w4(spark, sf):
 # Query API
 
 
-@query("r1_daily", f"SELECT user_id, data_type, strftime(aggregation_date, '%Y-%m-%d') AS aggregation_date, {ROUNDED} FROM daily WHERE user_id = (SELECT min(user_id) FROM samples WHERE data_type = 'heartRate') AND data_type = 'heartRate' AND aggregation_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'", "daily")
+@query("r1_daily", f"SELECT user_id, data_type, strftime(aggregation_date, '%Y-%m-%d') AS aggregation_date, {ROUNDED} FROM daily WHERE user_id = {USER} AND data_type = 'heartRate' AND aggregation_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'", "daily")
 def r1(spark, sf):
-    user = v.samples(spark, sf).where("data_type = 'heartRate'").agg(F.min("user_id")).first()[0]
-    rows = query_api.daily_aggregates(v.daily(spark, sf), user, "heartRate", v.AS_OF)
-    return query_api.as_text(rounded(rows).drop("timezone", "window_start", "window_end"))
+    days = v.stored_days(spark, sf, *query_api.default_dates(v.AS_OF, None, None))
+    rows = query_api.daily_aggregates(days, USER, "heartRate", v.AS_OF)
+    return query_api.as_text(rounded(rows).drop("year", "timezone", "window_start", "window_end"))
 
 
-@query("r2_weekly", "SELECT user_id, data_type, week_start_date, round(avg_value, 7) AS avg_value FROM weekly WHERE user_id = (SELECT min(user_id) FROM samples WHERE data_type = 'steps') AND data_type = 'steps' AND isoyear(week_start_date) * 100 + week(week_start_date) BETWEEN 202352 AND 202403", "weekly")
+@query("r2_weekly", f"SELECT user_id, data_type, week_start_date, round(avg_value, 7) AS avg_value FROM weekly WHERE user_id = {USER} AND data_type = 'steps' AND isoyear(week_start_date) * 100 + week(week_start_date) BETWEEN 202352 AND 202403", "weekly")
 def r2(spark, sf):
-    user = v.samples(spark, sf).where("data_type = 'steps'").agg(F.min("user_id")).first()[0]
-    rows = query_api.weekly_aggregates(v.weekly(spark, sf), user, "steps", v.AS_OF, "2023-W52", "2024-W03")
+    rows = query_api.weekly_aggregates(v.stored(spark, sf, "weekly"), USER, "steps", v.AS_OF, "2023-W52", "2024-W03")
     return rounded(rows).select("user_id", "data_type", "week_start_date", "avg_value")
 
 
-@query("r3_monthly", "SELECT user_id, data_type, year, month, round(avg_value, 7) AS avg_value FROM monthly WHERE user_id = (SELECT min(user_id) FROM purchases WHERE data_type = '1-URGENT') AND data_type = '1-URGENT' AND year * 100 + month BETWEEN 199511 AND 199803", "monthly")
+@query("r3_monthly", f"SELECT user_id, data_type, year, month, round(avg_value, 7) AS avg_value FROM monthly WHERE user_id = {BUYER} AND data_type = '1-URGENT' AND year * 100 + month BETWEEN 199511 AND 199803", "monthly")
 def r3(spark, sf):
-    user = v.purchases(spark, sf).where("data_type = '1-URGENT'").agg(F.min("user_id")).first()[0]
-    rows = query_api.monthly_aggregates(v.monthly(spark, sf), user, "1-URGENT", v.AS_OF, "1995-11", "1998-03")
+    rows = query_api.monthly_aggregates(v.stored(spark, sf, "monthly"), BUYER, "1-URGENT", v.AS_OF, "1995-11", "1998-03")
     return rounded(rows).select("user_id", "data_type", "year", "month", "avg_value")
 
 
-@query("r4_top_records", "SELECT user_id, aggregation_date, round(sum_value, 7) AS sum_value, CAST(row_number() OVER (ORDER BY sum_value DESC, aggregation_date) AS INTEGER) AS rank FROM daily WHERE user_id = (SELECT min(user_id) FROM samples WHERE data_type = 'heartRate') AND data_type = 'heartRate' AND aggregation_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' ORDER BY sum_value DESC, aggregation_date LIMIT 10", "daily")
+@query("r4_top_records", f"SELECT user_id, aggregation_date, round(sum_value, 7) AS sum_value, CAST(row_number() OVER (ORDER BY sum_value DESC, aggregation_date) AS INTEGER) AS rank FROM daily WHERE user_id = {USER} AND data_type = 'heartRate' AND aggregation_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' ORDER BY sum_value DESC, aggregation_date LIMIT 10", "daily")
 def r4(spark, sf):
-    user = v.samples(spark, sf).where("data_type = 'heartRate'").agg(F.min("user_id")).first()[0]
-    rows = query_api.top_records(v.daily(spark, sf), user, "heartRate", v.AS_OF, sort_by="sum_value")
+    days = v.stored_days(spark, sf, *query_api.default_dates(v.AS_OF, None, None))
+    rows = query_api.top_records(days, USER, "heartRate", v.AS_OF, sort_by="sum_value")
     return rounded(rows).select("user_id", "aggregation_date", "sum_value", "rank")
 
 
-@query("r5_envelope", "SELECT user_id, data_type, count(*) AS count, min(aggregation_date) AS first_date FROM daily WHERE user_id = (SELECT min(user_id) FROM samples WHERE data_type = 'heartRate') AND data_type = 'heartRate' GROUP BY 1, 2", "daily")
+@query("r5_envelope", f"SELECT user_id, data_type, count(*) AS count, min(aggregation_date) AS first_date FROM daily WHERE user_id = {USER} AND data_type = 'heartRate' GROUP BY 1, 2", "daily")
 def r5(spark, sf):
-    user = v.samples(spark, sf).where("data_type = 'heartRate'").agg(F.min("user_id")).first()[0]
-    rows = query_api.daily_aggregates(v.daily(spark, sf), user, "heartRate", v.AS_OF, dt.date(2023, 12, 1), dt.date(2024, 3, 1)).select("user_id", "data_type", "aggregation_date", "avg_value")
+    rows = query_api.daily_aggregates(v.stored(spark, sf, "daily"), USER, "heartRate", v.AS_OF, dt.date(2023, 12, 1), dt.date(2024, 3, 1)).select("user_id", "data_type", "aggregation_date", "avg_value")
     return query_api.envelope(rows, ["user_id", "data_type"]).select("user_id", "data_type", "count", F.col("records")[0]["aggregation_date"].alias("first_date"))
 
 
@@ -533,26 +531,16 @@ _LATE = ", o AS (SELECT *, max(floor(epoch(start_ts))) OVER (PARTITION BY user_i
 
 @query("st12_late_events", f"{_LATE} SELECT CAST(user_id % 8 AS BIGINT) AS source, count(*) AS events, count(*) FILTER (floor(epoch(start_ts)) < w) AS late_events, round(count(*) FILTER (floor(epoch(start_ts)) < w) / count(*) * 100, 6) AS late_percent, CAST(max(greatest(0, coalesce(w - floor(epoch(start_ts)), 0))) AS BIGINT) AS max_lateness FROM o GROUP BY 1", "samples")
 def st12(spark, sf):
-    rows = metrics.late_events(v.samples(spark, sf).withColumn("source", F.col("user_id") % 8), F.struct("end_date", "sample_id"), "start_ts", 60, "source")
+    rows = metrics.late_events(v.samples(spark, sf).withColumn("source", F.col("user_id") % 8), F.struct("end_date", "sample_id"), "start_ts", 60, "source", F.floor(F.col("end_date") / 3_600_000))
     return metrics.late_summary(rows, "source").withColumn("late_percent", F.round("late_percent", 6))
 
 
 @query("st13_window_bookkeeping", f"{_LATE}, k AS (SELECT CAST(floor(epoch(start_ts)) AS BIGINT) // 300 * 300 AS s, w FROM o) SELECT s AS window_start, count(*) FILTER (coalesce(w < s + 300, true)) AS on_time, count(*) FILTER (w >= s + 300 AND w < s + 420) AS late_updates, count(*) FILTER (w >= s + 420) AS dropped FROM k GROUP BY 1", "samples")
 def st13(spark, sf):
-    rows = metrics.late_events(v.samples(spark, sf).withColumn("source", F.col("user_id") % 8), F.struct("end_date", "sample_id"), "start_ts", 60, "source")
+    rows = metrics.late_events(v.samples(spark, sf).withColumn("source", F.col("user_id") % 8), F.struct("end_date", "sample_id"), "start_ts", 60, "source", F.floor(F.col("end_date") / 3_600_000))
     return metrics.window_bookkeeping(rows, 300, 120)
 
 
-def _work(spark: SparkSession, name: str) -> str:
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-vitals-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/vitals-{name}-{uuid.uuid4().hex}"
-
-
 def _stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = v.table(spark, sf, "events").schema
     return v.as_samples(spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf}/events.parque[t]"))
@@ -560,14 +548,14 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("st17_stream_daily", f"SELECT user_id, data_type, timezone, aggregation_date, {ROUNDED} FROM daily", "daily")
 def st17(spark, sf):
-    root = _work(spark, "job")
+    root = v.work(spark, "job")
     job.start(_stream(spark, sf), root, f"{root}/checkpoint", ("daily",)).awaitTermination()
     return rounded(spark.read.parquet(f"{root}/daily")).select("user_id", "data_type", "timezone", "aggregation_date", "count", "sum_value", "min_value", "max_value", "avg_value", "stddev_value", "first_value", "last_value", "record_count")
 
 
 @query("st15_stream_dedup", "SELECT data_type, count(*) AS n FROM samples GROUP BY 1", "samples")
 def st15(spark, sf):
-    root = _work(spark, "dedup")
+    root = v.work(spark, "dedup")
     stream = _stream(spark, sf)
     twice = calendar.without_redelivered(stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))))
     twice.select("sample_id", "data_type").writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
@@ -579,7 +567,7 @@ def st15(spark, sf):
 
 @query("s9_upsert", "SELECT user_id, data_type, aggregation_date, CASE WHEN aggregation_date >= DATE '2024-01-20' THEN 2 ELSE 1 END AS updated_at, round(CASE WHEN aggregation_date >= DATE '2024-01-20' THEN avg_value * 2 ELSE avg_value END, 7) AS avg_value FROM daily", "daily")
 def s9(spark, sf):
-    root = _work(spark, "upsert")
+    root = v.work(spark, "upsert")
     base = v.daily(spark, sf).select("user_id", "data_type", "aggregation_date", "avg_value")
     old = base.withColumn("updated_at", F.lit(1))
     new = base.where("aggregation_date >= date'2024-01-20'").withColumns({"avg_value": F.col("avg_value") * 2, "updated_at": F.lit(2)})
@@ -590,7 +578,7 @@ def s9(spark, sf):
 
 @query("s5_write_raw", "SELECT data_type, CAST(start_ts AS DATE) AS start_day, count(*) AS n FROM samples GROUP BY 1, 2", "samples")
 def s5(spark, sf):
-    root = _work(spark, "raw")
+    root = v.work(spark, "raw")
     tables.write_raw(v.samples(spark, sf).drop("start_ts"), f"{root}/raw")
     tables.compact(spark, f"{root}/raw", tables.RAW_PARTITIONS, f"{root}/staging", tables.TARGET_BYTES["raw"])
     return spark.read.schema("sample_id long, start_day date, data_type string").parquet(f"{root}/raw").groupBy("data_type", "start_day").agg(F.count("*").alias("n"))

@@ -55,11 +55,11 @@ OUTLIER_LIMITS = {"heartRate": (40, 200), "steps": (None, 50000), "sleepAnalysis
 #: Anomaly limits of averages, and of the range of a window.
 ANOMALY_LIMITS = {"heartRate": (40, 180, 100), "steps": (None, 50000, None), "bloodPressureSystolic": (90, 160, None)}
 DATA_TYPES = (
-    "height bodyMass bodyMassIndex bodyFatPercentage leanBodyMass waistCircumference stepCount distanceWalkingRunning flightsClimbed "
-    "activeEnergyBurned basalEnergyBurned exerciseTime standHours heartRate restingHeartRate heartRateVariability bloodPressureSystolic "
-    "bloodPressureDiastolic oxygenSaturation sleepAnalysis timeInBed dietaryEnergy dietaryProtein dietaryCarbohydrates dietaryFat "
-    "dietaryFiber dietarySugar dietaryWater respiratoryRate vo2Max bloodGlucose bodyTemperature mindfulMinutes"
-).split()
+    "height", "bodyMass", "bodyMassIndex", "bodyFatPercentage", "leanBodyMass", "waistCircumference", "stepCount", "distanceWalkingRunning", "flightsClimbed",
+    "activeEnergyBurned", "basalEnergyBurned", "exerciseTime", "standHours", "heartRate", "restingHeartRate", "heartRateVariability", "bloodPressureSystolic",
+    "bloodPressureDiastolic", "oxygenSaturation", "sleepAnalysis", "timeInBed", "dietaryEnergy", "dietaryProtein", "dietaryCarbohydrates", "dietaryFat",
+    "dietaryFiber", "dietarySugar", "dietaryWater", "respiratoryRate", "vo2Max", "bloodGlucose", "bodyTemperature", "mindfulMinutes",
+)
 ALIASES = {"stepCount": "steps", "mindfulMinutes": "mindfulSession", "distanceWalkingRunning": "distance"}
 LOCALE_ZONES = {"ko_KR": "Asia/Seoul", "en_US": "America/New_York", "ja_JP": "Asia/Tokyo", "zh_CN": "Asia/Shanghai"}
 SEVERITIES = {"VALIDATION_ERROR": "LOW", "TRANSFORMATION_ERROR": "MEDIUM", "DESERIALIZATION_ERROR": "HIGH", "PROCESSING_ERROR": "HIGH", "UNKNOWN_ERROR": "CRITICAL"}
@@ -70,12 +70,16 @@ ALERT_LIMITS = {"error_rate": 10.0, "failure_share": 0.1, "p95_latency_ms": 1000
 PROFILES = {"record": RECORD_RANGES, "gateway": GATEWAY_RANGES, "aggregate": AGGREGATE_RANGES, "simple": SIMPLE_AGGREGATE_RANGES, "outlier": OUTLIER_LIMITS}
 
 
+def small_table(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
+    """A rule table as a relation of the plan itself, so that no Python worker makes it. Values are texts, numbers or null."""
+    literal = lambda x: "CAST(NULL AS DOUBLE)" if x is None else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(x, str) else f"{float(x)!r}D"
+    return spark.sql(f"SELECT * FROM VALUES {', '.join('(' + ', '.join(map(literal, row)) + ')' for row in rows)} AS t({names})")
+
+
 def ranges(spark: SparkSession, profile: str) -> DataFrame:
     """(data_type, low, high) of a named profile."""
-    rows = [(t, None if lo is None else float(lo), None if hi is None else float(hi)) for t, (lo, hi) in PROFILES[profile].items()]
-    return spark.createDataFrame(rows, "data_type string, low double, high double")
+    return small_table(spark, "data_type, low, high", [(t, lo, hi) for t, (lo, hi) in PROFILES[profile].items()])
 
 
 def anomaly_limits(spark: SparkSession) -> DataFrame:
-    rows = [(t, *[None if x is None else float(x) for x in v]) for t, v in ANOMALY_LIMITS.items()]
-    return spark.createDataFrame(rows, "data_type string, avg_low double, avg_high double, max_range double")
+    return small_table(spark, "data_type, avg_low, avg_high, max_range", [(t, *v) for t, v in ANOMALY_LIMITS.items()])

@@ -36,12 +36,21 @@ def parse_json_body(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def read_payload_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Payloads of JSON lines, and the malformed lines."""
+    """Payloads of JSON lines, and the malformed lines (value): two views of one scan of the lines."""
     schema = f"{PAYLOAD}, _corrupt_record string"
-    rows = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    text = spark.read.text(path).where(F.trim("value") != "")
-    bad = text.where(F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})["_corrupt_record"].isNotNull())
-    return rows.where("_corrupt_record is null").drop("_corrupt_record"), bad
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = spark.read.text(path).where(F.trim("value") != "").withColumn("payload", parsed)
+    return rows.where("payload._corrupt_record is null").select("payload.*").drop("_corrupt_record"), rows.where("payload._corrupt_record is not null").select("value")
+
+
+def read_payload_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """A stream of framed messages (value) from Parquet files, at most ``max_files`` in a batch."""
+    return spark.readStream.schema("value binary").option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def publish_payloads(payloads: DataFrame, options: dict[str, str], format: str = "kafka") -> None:
+    """Sends payloads with their keys and headers; ``format`` and ``options`` name the sink."""
+    kafka_columns(payloads).write.format(format).options(**options).save()
 
 
 def kafka_columns(payloads: DataFrame) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 RAW_PARTITIONS = ["start_day", "data_type"]
 ERROR_PARTITIONS = ["error_day", "error_type"]
+AGGREGATE_PARTITIONS = ["data_type", "year"]
 TARGET_BYTES = {"raw": 256 << 20, "errors": 128 << 20, "daily": 128 << 20, "weekly": 128 << 20, "monthly": 128 << 20}
 WIDENINGS = {("int", "bigint"), ("float", "double"), ("date", "timestamp")}
 
@@ -38,8 +37,20 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     write_partitioned(df.withColumn("start_day", F.to_date(F.timestamp_millis("start_date"))), path, RAW_PARTITIONS, mode, cluster=["user_id"])
 
 
-def write_errors(df: DataFrame, path: str, mode: str = "append") -> None:
-    write_partitioned(df.withColumn("error_day", F.to_date(F.timestamp_millis("error_timestamp"))), path, ERROR_PARTITIONS, mode)
+def write_errors(df: DataFrame, path: str, mode: str = "append", more: list[str] | None = None) -> None:
+    write_partitioned(df.withColumn("error_day", F.to_date(F.timestamp_millis("error_timestamp"))), path, [*ERROR_PARTITIONS, *(more or [])], mode)
+
+
+def write_aggregates(df: DataFrame, path: str, kind: str, mode: str = "append", records_per_file: int = 0) -> None:
+    """Daily, weekly or monthly aggregates by type and year, in order of users, so that a reader of one user skips most of a file."""
+    year = F.year("aggregation_date") if kind == "daily" else F.col("year")
+    write_partitioned(df.withColumn("year", year), path, AGGREGATE_PARTITIONS, mode, records_per_file, ["user_id"])
+
+
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored under ``path``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def newest(df: DataFrame, keys: list[str], version: str = "updated_at") -> DataFrame:
@@ -54,19 +65,17 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], part
     The merged partitions are written to ``staging`` first, then swapped in by a dynamic overwrite: a failed attempt leaves
     the table as it was and can be repeated.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
     merged = new
-    if exists:
+    if stored(spark, path):
         touched = new.select(*partitions).distinct()
         merged = spark.read.schema(new.schema).parquet(path).join(touched, partitions, "left_semi").unionByName(new)
     newest(merged, keys, version).write.mode("overwrite").parquet(staging)
     write_partitioned(spark.read.schema(new.schema).parquet(staging), path, partitions, "overwrite")
 
 
-def create_tables(spark: SparkSession, database: str, tables: dict[str, tuple[str, list[str]]]) -> None:
-    """Creates what is missing of ``tables``: name to (DDL of the columns, partition columns)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_tables(spark: SparkSession, database: str, tables: dict[str, tuple[str, list[str]]], location: str | None = None) -> None:
+    """Creates what is missing of ``tables``: name to (DDL of the columns, partition columns), under ``location`` or the warehouse."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, (columns, partitions) in tables.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet PARTITIONED BY ({', '.join(partitions)})")
 
@@ -91,12 +100,37 @@ def file_sizes(df: DataFrame) -> DataFrame:
     return df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.count("*").alias("n_files"), F.sum("file_size").alias("bytes"))
 
 
+def partition_sizes(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """(partitions, n_files, bytes) of a table's partitions, from its files' metadata."""
+    files = df.select(*partitions, "_metadata.file_path", "_metadata.file_size").distinct()
+    return files.groupBy(*partitions).agg(F.count("*").alias("n_files"), F.sum("file_size").alias("bytes"))
+
+
 def compact(spark: SparkSession, path: str, partitions: list[str], staging: str, target: int) -> None:
-    """Rewrites a table in files of about ``target`` bytes, by way of ``staging``."""
+    """Rewrites the partitions that have more files than their bytes need, in files of about ``target`` bytes, by way of ``staging``.
+
+    A large partition is dealt to as many tasks as it gets files; partitions of a good size are left as they are.
+    """
     df = spark.read.parquet(path)
-    size = file_sizes(df).first()["bytes"] or 0
-    df.repartition(max(1, math.ceil(size / target)), *partitions).write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").partitionBy(*partitions).option("partitionOverwriteMode", "dynamic").parquet(path)
+    wanted = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target)).cast("int")
+    plan = partition_sizes(df, partitions).withColumn("__files", wanted).where("n_files > __files").select(*partitions, "__files").persist()
+    try:
+        files = plan.agg(F.sum("__files")).first()[0]
+        if not files:
+            return
+        deal = F.pmod(F.xxhash64(*[F.col(f"d.{c}") for c, t in df.dtypes if not t.startswith("map")]), F.col("__files")).alias("__deal")
+        same = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partitions]
+        rows = df.alias("d").join(plan.alias("p"), same).select("d.*", deal)
+        rows.repartition(files, *partitions, "__deal").drop("__deal").write.mode("overwrite").parquet(staging)
+    finally:
+        plan.unpersist()
+    spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").partitionBy(*partitions).option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def records_for(df: DataFrame, target: int, sample: int = 1000) -> int:
+    """Rows that about fill a file of ``target`` bytes, by the text size of some rows: for ``records_per_file``."""
+    size = df.limit(sample).agg(F.avg(F.length(F.to_json(F.struct(*df.columns))))).first()[0]
+    return max(1, int(target / size)) if size else 0
 
 
 def migrate(df: DataFrame, operations: list[tuple]) -> tuple[DataFrame, list[tuple[str, str]]]:

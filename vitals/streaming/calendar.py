@@ -28,20 +28,21 @@ class WindowCloser(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, total, mean, m2, low, high, fa, fi, fv, la, li, lv = self.state.get() if self.state.exists() else (0, 0.0, 0.0, 0.0, float("inf"), float("-inf"), None, None, None, None, None, None)
         for part in rows:
-            for at, sample, v in zip(part["at_ms"], part["sample_id"], part["value"], strict=True):
-                if v is None or v != v:
-                    continue
-                at, sample, v = int(at), int(sample), float(v)
-                n += 1
-                total += v
-                step = v - mean
-                mean += step / n
-                m2 += step * (v - mean)
-                low, high = min(low, v), max(high, v)
-                if fa is None or (at, sample) < (fa, fi):
-                    fa, fi, fv = at, sample, v
-                if la is None or (at, sample) > (la, li):
-                    la, li, lv = at, sample, v
+            part = part[part["value"].notna()]
+            if part.empty:
+                continue
+            v = part["value"].astype(float)
+            k, there, apart = len(v), float(v.mean()), float(v.mean()) - mean
+            m2 += float(((v - there) ** 2).sum()) + apart * apart * n * k / (n + k)
+            mean += apart * k / (n + k)
+            n, total = n + k, total + float(v.sum())
+            low, high = min(low, float(v.min())), max(high, float(v.max()))
+            order = part.sort_values(["at_ms", "sample_id"])
+            head, tail = ((int(r["at_ms"]), int(r["sample_id"]), float(r["value"])) for r in (order.iloc[0], order.iloc[-1]))
+            if fa is None or head[:2] < (fa, fi):
+                fa, fi, fv = head
+            if la is None or tail[:2] > (la, li):
+                la, li, lv = tail
         if n:
             self.state.update((n, total, mean, m2, low, high, fa, fi, fv, la, li, lv))
             self.handle.registerTimer(int(key[4]))
@@ -57,13 +58,29 @@ class WindowCloser(StatefulProcessor):
         pass
 
 
-def closing_windows(stream: DataFrame, kind: str, delay: str = DELAY) -> DataFrame:
-    """Final statistics of each local window of ``stream`` (user_id, data_type, timezone, start_ts, sample_id, value), once the watermark passes its end. Needs the RocksDB state store."""
+def watermark_delay(kind: str) -> str:
+    """The watermark's delay and the lateness that windows of ``kind`` allow: rows up to that late still count."""
+    return f"{DELAY} {LATENESS[kind]}"
+
+
+def closing_windows(stream: DataFrame, kind: str, delay: str | None = None) -> DataFrame:
+    """Final statistics of each local window of ``stream`` (user_id, data_type, timezone, start_ts, sample_id, value), once the watermark passes its end.
+
+    ``delay``: by default the bounded disorder and the allowed lateness of ``kind`` together, so a window closes once, with
+    all rows that are no later. Needs the RocksDB state store.
+    """
     w = local_window(F.col("start_ts"), F.col("timezone"), kind)
-    rows = stream.withWatermark("start_ts", delay).select("user_id", "data_type", "timezone", w.start_ms.alias("window_start"), w.end_ms.alias("window_end"), "start_ts", F.unix_millis("start_ts").alias("at_ms"), "sample_id", "value")
+    rows = stream.withWatermark("start_ts", delay or watermark_delay(kind)).select("user_id", "data_type", "timezone", w.start_ms.alias("window_start"), w.end_ms.alias("window_end"), "start_ts", F.unix_millis("start_ts").alias("at_ms"), "sample_id", "value")
     return rows.groupBy("user_id", "data_type", "timezone", "window_start", "window_end").transformWithStateInPandas(WindowCloser(), OUTPUT, "append", "EventTime")
 
 
+def touched_days(batch: DataFrame, kind: str) -> DataFrame:
+    """(start_day): the UTC days that can hold rows of the windows that ``batch`` touches: at most a row for each day there is."""
+    w = local_window(F.col("start_ts"), F.col("timezone"), kind)
+    spans = batch.select(F.date_sub(w.first_date, 1).alias("low"), F.date_add(w.last_date, 1).alias("high")).distinct()
+    return spans.select(F.explode(F.sequence("low", "high")).alias("start_day")).distinct()
+
+
 def recompute_touched(batch: DataFrame, raw: DataFrame, kind: str) -> DataFrame:
     """Aggregates of the windows that ``batch`` touches, from all of ``raw``: right for late data of any age, and repeatable."""
     w = local_window(F.col("start_ts"), F.col("timezone"), kind)

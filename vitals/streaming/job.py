@@ -1,52 +1,110 @@
-"""The whole job: measurements are validated, split, stored and aggregated, batch by batch."""
+"""The whole job: payloads are decoded, flattened, validated, split, stored and aggregated, batch by batch."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.times import utc_window
 from ..operators.aggregate import calendar_aggregate, fixed_aggregate
-from ..operators.validate import split, validate_light
-from ..sources.tables import upsert
-from .calendar import recompute_touched
+from ..operators.ingest import flatten, sanitise
+from ..operators.validate import error_records, split, validate_light
+from ..schemas import ERROR
+from ..sources.payloads import decode_wire, parse_json_body
+from ..sources.tables import drift, fields, gate, stored, upsert, write_errors, write_partitioned
+from .calendar import recompute_touched, touched_days
 
 BRANCHES = ("daily", "weekly", "monthly")
-PARTITION = {"daily": ["data_type", "aggregation_date"], "weekly": ["data_type", "year"], "monthly": ["data_type", "year"]}
+PARTITION = {"daily": ["data_type", "aggregation_date"], "weekly": ["data_type", "year", "week_of_year"], "monthly": ["data_type", "year", "month"]}
 KEY = {"daily": ["user_id", "data_type", "timezone", "aggregation_date"], "weekly": ["user_id", "data_type", "timezone", "year", "week_of_year"], "monthly": ["user_id", "data_type", "timezone", "year", "month"]}
 
 
-def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False):
-    """A ``foreachBatch`` function. A batch that is run again writes the same: raw and error rows are stored by batch id, windows are recomputed and upserted."""
+def timed(df: DataFrame) -> DataFrame:
+    """``validate_light``, and rows without a time above 0 are rejected as well."""
+    rows = validate_light(df)
+    return rows.withColumn("reject_reason", F.coalesce("reject_reason", F.when(~F.coalesce(F.unix_millis("start_ts") > 0, F.lit(False)), "invalid_timestamp")))
+
+
+def decoded(stream: DataFrame, now_ms: Column) -> tuple[DataFrame, DataFrame]:
+    """Measurements with ``start_ts`` of framed payloads (value), and error rows of the messages that can't be read."""
+    rows = parse_json_body(decode_wire(stream)).withColumn("fault", F.coalesce("wire_error", F.when(F.coalesce("payload.userId", "payload.deviceId").isNull(), "DESERIALIZATION_ERROR")))
+    payloads = sanitise(rows.where("fault is null").select("payload.*"))
+    flat = flatten(payloads, now_ms).withColumn("start_ts", F.timestamp_millis("start_date"))
+    bad = rows.where("fault is not null").select(F.hex("value").alias("message"), F.lit("message can't be read").alias("reason"))
+    return flat, error_records(bad, "DESERIALIZATION_ERROR", now_ms, "reason")
+
+
+def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, payloads: bool = False, now_ms: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function. A batch that is run again writes the same: raw and error rows are stored by batch id, windows are recomputed and upserted.
+
+    Raw rows are stored by UTC day, and a batch reads only the days that its windows reach.
+    """
+    now = now_ms if now_ms is not None else F.unix_millis(F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = validate_light(batch).persist()
+        spark, seen = batch.sparkSession, Observation(f"batch-{batch_id}")
+        flat, unreadable = decoded(batch, now) if payloads else (batch, None)
+        rows = timed(flat).persist()
         try:
             good, bad = split(rows)
-            good.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/raw")
-            bad.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/errors")
-            raw = spark.read.parquet(f"{root}/raw").drop("batch").dropDuplicates(["sample_id"])
+            in_batch = lambda df: df.withColumn("batch", F.lit(batch_id))
+            counted = rows.observe(seen, F.count("*").alias("records"), F.count("reject_reason").alias("errors"))
+            stored_rows = counted.where("reject_reason is null").drop("reject_reason").withColumn("start_day", F.to_date("start_ts"))
+            write_partitioned(in_batch(stored_rows), f"{root}/raw", ["start_day", "batch"], "overwrite", cluster=["user_id"])
+            errors = error_records(bad, "VALIDATION_ERROR", now)
+            errors = errors if unreadable is None else errors.unionByName(unreadable)
+            write_errors(in_batch(errors), f"{root}/errors", "overwrite", more=["batch"])
+            raw = spark.read.schema(f"{batch_schema(good)}, start_day date, batch long").parquet(f"{root}/raw").drop("batch")
+            near = lambda days: raw.join(F.broadcast(days), "start_day", "left_semi").drop("start_day").dropDuplicates(["sample_id"])
+            upserts = 0
             for kind in branches:
-                new = recompute_touched(good, raw, kind).withColumn("updated_at", F.lit(batch_id).cast("long"))
+                new = recompute_touched(good, near(touched_days(good, kind)), kind).withColumn("updated_at", F.lit(batch_id).cast("long")).persist()
+                upserts += new.count()
                 upsert(spark, f"{root}/{kind}", new, KEY[kind], PARTITION[kind], f"{root}/staging-{kind}")
+                new.unpersist()
             if fixed:
-                new = fixed_aggregate(raw, "daily").withColumn("updated_at", F.lit(batch_id).cast("long"))
-                upsert(spark, f"{root}/fixed", new, ["user_id", "data_type", "aggregation_date"], ["data_type"], f"{root}/staging-fixed")
-            counts = rows.agg(F.count("*").alias("records"), F.count("reject_reason").alias("errors")).withColumn("batch", F.lit(batch_id))
-            counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/metrics")
+                days = good.select(utc_window(F.col("start_ts"), "daily").first_date.alias("start_day")).distinct()
+                new = fixed_aggregate(near(days), "daily").withColumn("updated_at", F.lit(batch_id).cast("long"))
+                upsert(spark, f"{root}/fixed", new, ["user_id", "data_type", "aggregation_date"], ["data_type", "aggregation_date"], f"{root}/staging-fixed")
+            unread = unreadable.count() if unreadable is not None else 0
+            counts = (batch_id, seen.get["records"] + unread, seen.get["errors"] + unread, upserts)
+            table = spark.createDataFrame([counts], "batch long, records long, errors long, upserts long")
+            table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/metrics")
         finally:
             rows.unpersist()
 
     return write
 
 
-def start(stream: DataFrame, root: str, checkpoint: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, interval: str | None = None) -> StreamingQuery:
-    """Starts the job; without an ``interval`` it works through what is there and ends."""
-    writer = stream.writeStream.foreachBatch(batch_writer(root, branches, fixed)).option("checkpointLocation", checkpoint)
+def batch_schema(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "reject_reason")
+
+
+def checked_schema(spark: SparkSession, root: str, schema: DataFrame, allow_breaking: bool = False) -> None:
+    """The gate at the start: stops if ``schema`` (its columns) breaks the stored raw table."""
+    if stored(spark, f"{root}/raw"):
+        old = spark.read.parquet(f"{root}/raw").drop("start_day", "batch")
+        gate(drift(fields(spark, old.schema), fields(spark, schema.schema)), allow_breaking)
+
+
+def start(stream: DataFrame, root: str, checkpoint: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, interval: str | None = None, payloads: bool = False, now_ms: Column | None = None, allow_breaking: bool = False) -> StreamingQuery:
+    """Starts the job on measurements, or with ``payloads`` on framed messages (value); without an ``interval`` it works through what is there and ends."""
+    spark = stream.sparkSession
+    if payloads:
+        checked_schema(spark, root, decoded(stream, F.lit(0).cast("long"))[0], allow_breaking)
+    else:
+        checked_schema(spark, root, stream, allow_breaking)
+    writer = stream.writeStream.foreachBatch(batch_writer(root, branches, fixed, payloads, now_ms)).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def errors(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(f"{ERROR}, error_day date, batch long").parquet(f"{root}/errors")
+
+
 def batch_equivalent(spark: SparkSession, rows: DataFrame, kind: str) -> DataFrame:
-    good, _ = split(validate_light(rows))
+    good, _ = split(timed(rows))
     return calendar_aggregate(good.dropDuplicates(["sample_id"]), kind)
