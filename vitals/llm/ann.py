@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bytewords import tidy
 from .common import written
 
 #: Vectors that centroids are fitted on, at most: those of the smallest hash of their id.
@@ -141,7 +142,7 @@ def _listed(rows: DataFrame, index: Index, ratio: float, most: int, tag: str, le
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([column, part.column(0), part.column(1)], names=["lists", "id", "embedding"])
 
-    return written(rows.mapInArrow(task, "lists array<int>, id long, embedding array<double>"), tag)
+    return written(rows.mapInArrow(tidy(task), "lists array<int>, id long, embedding array<double>"), tag)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, copy_ratio: float = COPY_RATIO, copies: int = COPIES, probe_ratio: float = PROBE_RATIO, probes: int = PROBES, probe_share: float = PROBE_SHARE, block: int = BLOCK, **options) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,25 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(task: Task) -> Task:
+    """``task``, after which its worker gives the memory that it has freed back to the system: workers wait for more tasks beside the JVM."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (the splitmix64 finaliser)."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .bytewords import tidy
+
 # Names of HTML elements and of parts of pages.
 BLOCK_TAGS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -395,4 +397,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts = [main_text(x.as_py()) for x in part.column(2)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(task, "page_id long, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(tidy(task), "page_id long, url string, text string, n_chars long")

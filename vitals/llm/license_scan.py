@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import alnum_words, slices, word_hash
+from .bytewords import alnum_words, slices, tidy, word_hash
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -86,7 +86,7 @@ def inverse_frequencies(docs: DataFrame, words: list[str]) -> dict[str, float]:
                 total[:-1] += np.bincount(seen, minlength=len(vocab))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["word", "n"])
 
-    rows = docs.select("text").mapInArrow(task, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(tidy(task), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     n = {r.word: r.n for r in rows}
     everything = n.get(len(vocab), 0)
     return {w: math.log((everything + 1) / (n.get(i, 0) + 1)) for i, w in enumerate(order)}
@@ -160,4 +160,4 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOTICES, anch
                 joined = lambda sets: pa.array([",".join(sorted(x)) for x in sets], pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(np.diff(first).astype(np.int64)), pa.array(count), pa.array(low, pa.int64()), pa.array(high, pa.int64()), joined(base), joined(labels), pa.array(score)], names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidy(task), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")

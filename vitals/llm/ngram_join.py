@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bytewords import IS_SPACE, LOWER, mixed, runs, slices, span_hashes
+from .bytewords import IS_SPACE, LOWER, mixed, runs, slices, span_hashes, tidy
 from .common import components, free_name, shuffle_partitions, written
 
 WORDS = 4
@@ -100,7 +100,7 @@ def _common(docs: DataFrame, words: int, seed: int, most: int) -> np.ndarray:
         if parts:
             yield counted(parts)
 
-    rows = docs.select("text").mapInArrow(task, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 32")
+    rows = docs.select("text").mapInArrow(tidy(task), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 32")
     rows = rows.orderBy(F.desc("n"), "gram").limit(most).select("gram").collect()
     return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
 
@@ -142,7 +142,7 @@ def _sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), batch.column(1).slice(at, len(sets)), *new], names=["doc_id", "text_hash", "key", "digest", "n"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(task, "doc_id long, text_hash long, key long, digest binary, n long")
+    return rows.mapInArrow(tidy(task), "doc_id long, text_hash long, key long, digest binary, n long")
 
 
 def _cells(texts: DataFrame, words: int, percent: int, seed: int, common: np.ndarray) -> DataFrame:
@@ -164,7 +164,7 @@ def _cells(texts: DataFrame, words: int, percent: int, seed: int, common: np.nda
                     keys = np.repeat(np.array(list(sets), np.int64), list(map(len, cells)))
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(keys)], names=["cell", "key"])
 
-    return texts.select("text").mapInArrow(task, "cell long, key long")
+    return texts.select("text").mapInArrow(tidy(task), "cell long, key long")
 
 
 def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,8 +217,8 @@ def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
                 pages.setdefault(p, np.zeros(1 << page, bool))[slot[slot >> page == p] & ((1 << page) - 1)] = True
         yield pa.RecordBatch.from_arrays([pa.array(list(pages), pa.int64()), pa.array([np.packbits(x).tobytes() for x in pages.values()], pa.binary())], names=["page", "bits"])
 
-    slots = keys.select("key", F.coalesce("least_id", F.lit(-1)).alias("doc")).mapInArrow(slot, "slot long").distinct()
-    slots = slots.repartition(F.shiftright("slot", page)).mapInArrow(task, "page long, bits binary")
+    slots = keys.select("key", F.coalesce("least_id", F.lit(-1)).alias("doc")).mapInArrow(tidy(slot), "slot long").distinct()
+    slots = slots.repartition(F.shiftright("slot", page)).mapInArrow(tidy(task), "page long, bits binary")
     out = np.zeros((1 << (bits - page), 1 << (page - 3)), np.uint8)
     for row in slots.collect():  # pages differ between tasks: at most 2^bits bits in all
         out[row.page] = np.frombuffer(row.bits, np.uint8)
@@ -248,7 +248,7 @@ def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, most: int
                 columns = [pa.array(list(out), pa.int64()), pa.array(list(map(len, out.values())), pa.int64()), pa.array(points, pa.binary()), pa.array([s.tobytes() for s in out.values()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "point", "grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(task, "key long, n long, point binary, grams binary")
+    return docs.select("doc_id", "text").mapInArrow(tidy(task), "key long, n long, point binary, grams binary")
 
 
 def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -273,9 +273,9 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     side = lambda x, *columns: members.select(F.col("key").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
     found = pairs.join(side("a", "n", "point"), "a").join(side("b", "n", "point"), "b").select("a", "b", "n_a", "n_b", "point_a", "point_b")
-    found = written(found.mapInArrow(bounded, "a long, b long").distinct(), "bounded")
+    found = written(found.mapInArrow(tidy(bounded), "a long, b long").distinct(), "bounded")
     found = found.join(side("a", "grams"), "a").join(side("b", "grams"), "b").select("a", "b", "grams_a", "grams_b")
-    return written(found.mapInArrow(exact, "a long, b long"), "links")
+    return written(found.mapInArrow(tidy(exact), "a long, b long"), "links")
 
 
 class _Tree:
@@ -424,7 +424,7 @@ def _tree_pairs(cells: DataFrame, members: DataFrame, percent: int) -> DataFrame
         if met:
             yield counted()
 
-    pairs = rows.mapInArrow(task, "a long, b long, cells long")
+    pairs = rows.mapInArrow(tidy(task), "a long, b long, cells long")
     pairs = pairs.groupBy("a", "b").agg(F.sum("cells").alias("cells"))
     size = members.groupBy("key").agg(F.min("n").alias("n"))
     pairs = pairs.join(size.select(F.col("key").alias("a"), F.col("n").alias("n_a")), "a").join(size.select(F.col("key").alias("b"), F.col("n").alias("n_b")), "b")
@@ -449,7 +449,7 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, common:
         keys = rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.max("n").alias("n"), (F.min("digest") != F.max("digest")).alias("clash"))
         if keys.where("clash").isEmpty():
             break
-    by_cell = lambda pairs, *order: pairs.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", *order, "key").mapInArrow(_shared_cells, "cell long, key long, leader long")
+    by_cell = lambda pairs, *order: pairs.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", *order, "key").mapInArrow(tidy(_shared_cells), "cell long, key long, leader long")
     cells = written(by_cell(_cells(docs, words, percent, seed, _common(docs, words, seed, common))), "shared-cells")
     few = F.ceil(MARGIN * F.ceil(percent * F.col("n") / 100) / 100)
     many = cells.groupBy("key").agg(F.count("*").alias("shared")).join(keys, "key").where(F.col("shared") >= few)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bytewords import LOWER, same_spans, slices, span_hashes
+from .bytewords import LOWER, same_spans, slices, span_hashes, tidy
 
 WINDOW = 2048
 #: Tiers of windows that take remainders; shorter remainders only fill gaps.
@@ -28,9 +28,9 @@ STEP_TOKENS = 32_768
 #: The id after each document.
 END_ID = 1
 #: Distinct words whose ids a Python worker remembers.
-CACHE = 1_000_000
+CACHE = 400_000
 #: Bytes of words after which it forgets them all.
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 16 << 20
 
 SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group")])
 
@@ -259,4 +259,4 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shortest: i
                 rows = {k: v for k, v in rows.items() if k in waiting}
         yield from out(packer.rest())
 
-    return docs.select("doc_id", "text").mapInArrow(task, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(tidy(task), SCHEMA)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytewords import IS_ALNUM, LOWER, alnum_words, mixed, runs, slices, span_hashes, word_hash
+from .bytewords import IS_ALNUM, LOWER, alnum_words, mixed, runs, slices, span_hashes, tidy, word_hash
 from .common import free_name, written
 
 #: Labelled rows that the classifier is fitted on, at most: those of the smallest hash of their doc_id.
@@ -206,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swap_penalty:
     named = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").join(F.broadcast(chosen), "doc_id")
     keys = named.select("doc_id", "hash").distinct().orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash").limit(sample)
     texts = named.join(F.broadcast(keys), ["doc_id", "hash"]).groupBy("doc_id", "hash").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
-    rows = written(texts.select("text", "toxic").mapInArrow(_featurise, "toxic int, words binary, least binary, pairs binary"), "labelled")
+    rows = written(texts.select("text", "toxic").mapInArrow(tidy(_featurise), "toxic int, words binary, least binary, pairs binary"), "labelled")
 
     # the driver holds the labels, four hashes of each text, and what the following aggregates leave
     marks = rows.select(F.least(F.greatest("toxic", F.lit(0)), F.lit(1)).cast("double"), "least").toArrow()
@@ -222,9 +222,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swap_penalty:
     with_word, toxic_word = F.col("worth") / UNIT, F.col("toxic") / UNIT
     expected = with_word * n1 / n
     stat = F.pow(toxic_word - expected, 2) / (expected * (1 - n1 / n) * F.greatest(F.lit(1e-9), 1 - with_word / n) + 1e-9)
-    totals = rows.select("toxic", "least", "words").mapInArrow(_counter(worth_of), "word long, worth long, toxic long").groupBy("word").agg(F.sum("worth").alias("worth"), F.sum("toxic").alias("toxic"))
+    totals = rows.select("toxic", "least", "words").mapInArrow(tidy(_counter(worth_of)), "word long, worth long, toxic long").groupBy("word").agg(F.sum("worth").alias("worth"), F.sum("toxic").alias("toxic"))
     going = totals.where((with_word >= support) & (stat >= chi)).select("word").toArrow().column(0).to_numpy().view(np.uint64)
-    kinds = rows.select("pairs").mapInArrow(_pair_counts, "term long, other long, mask long, n long").groupBy("term", "other", "mask").agg(F.sum("n").alias("n")).toArrow()
+    kinds = rows.select("pairs").mapInArrow(tidy(_pair_counts), "term long, other long, mask long, n long").groupBy("term", "other", "mask").agg(F.sum("n").alias("n")).toArrow()
     often = kinds.column(3).to_numpy()
     kinds = np.stack([kinds.column(i).to_numpy().view(np.uint64) for i in range(3)], 1)
     order = np.lexsort(kinds.T)
@@ -233,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swap_penalty:
     k = len(chosen_words)
 
     # the texts in these features alone
-    found = rows.select("toxic", "least", "words").mapInArrow(_places_in(chosen_words), "toxic int, least binary, places binary").toArrow().to_pylist()
+    found = rows.select("toxic", "least", "words").mapInArrow(tidy(_places_in(chosen_words)), "toxic int, least binary, places binary").toArrow().to_pylist()
     found.sort(key=lambda r: (r["least"], r["places"], r["toxic"]))
     y = np.array([min(1, max(0, r["toxic"])) for r in found], float)
     worth = np.array([worth_of[r["least"]] for r in found])
@@ -275,7 +275,7 @@ def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
             values = [model.scores(data, offsets) for _, data, offsets in slices(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *values]))], names=names)
 
-    return docs.mapInArrow(task, schema)
+    return docs.mapInArrow(tidy(task), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
