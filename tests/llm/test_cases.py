@@ -302,7 +302,7 @@ def test_licences_against_plain_python(spark):
     for r in queries.table(spark, sf, "documents").select("doc_id", "text").collect():
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").translate(LOW))
         places, labels, score = [], set(), 0.0
-        for t in license_scan.BASE + license_scan.NOTICES:
+        for t in license_scan.BASE + license_scan.NOTICES + license_scan.LICENCES:
             text, must = t.text.split(), t.must.split()
             at = next(i for i in range(len(text)) if text[i : i + len(must)] == must)
             for i in (i for i in range(len(words) - len(must) + 1) if words[i : i + len(must)] == must):
@@ -317,6 +317,24 @@ def test_licences_against_plain_python(spark):
     assert all(t.label in base or not t.base for t in license_scan.BASE)
 
 
+def test_whole_licences(spark):
+    """Each licence as a file's comment, below other text and above code, whole, with some other words, and cut in half."""
+    own, texts = license_scan.LICENCES, []
+    for t in own:
+        words = t.text.split()
+        comment = lambda w: "Copyright (c) 2024 Someone\n" + "\n".join(" * " + ", ".join(w[i : i + 9]) for i in range(0, len(w), 9)) + "\n */ int main() {}"
+        at = next(i for i in range(len(words)) if words[i : i + len(t.must.split())] == t.must.split())
+        changed = [w if at <= i < at + len(t.must.split()) or i % 7 else "other" for i, w in enumerate(words)]
+        texts += [comment([w.upper() for w in words]), comment(changed), comment(words[: len(words) // 3])]
+    rows = license_scan.scan(docs(spark, texts), own).orderBy("doc_id").collect()
+    for nth, t in enumerate(own):
+        whole, changed, part = rows[3 * nth : 3 * nth + 3]
+        assert whole.labels == t.label and whole.score == 1.0, t.label
+        assert changed.labels == t.label and 0.8 < changed.score < 1.0, t.label
+        assert part.labels == "" and part.score == 0.0, t.label
+    assert all(r.n_base == 0 and r.first_word is None for r in rows)
+
+
 # Packing
 
 

@@ -53,9 +53,116 @@ NOTICES = (
     Template("cc0", "cc0 1 0 universal public domain dedication", "cc0 1 0 universal"),
     Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
+# Whole licences, from below their line of copyright, without punctuation.
+LICENCES = (
+    Template(
+        "mit",
+        """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the rights
+        to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to
+        whom the software is furnished to do so subject to the following conditions the above copyright notice and this
+        permission notice shall be included in all copies or substantial portions of the software the software is provided
+        as is without warranty of any kind express or implied including but not limited to the warranties of merchantability
+        fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for
+        any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in
+        connection with the software or the use or other dealings in the software""",
+        "use copy modify merge publish distribute sublicense and or sell copies",
+    ),
+    Template(
+        "isc",
+        """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+        provided that the above copyright notice and this permission notice appear in all copies the software is provided as
+        is and the author disclaims all warranties with regard to this software including all implied warranties of
+        merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential
+        damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract
+        negligence or other tortious action arising out of or in connection with the use or performance of this software""",
+        "this permission notice appear in all copies",
+    ),
+    Template(
+        "bsd-2",
+        """redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met 1 redistributions of source code must retain the above copyright notice this list of
+        conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice
+        this list of conditions and the following disclaimer in the documentation and or other materials provided with the
+        distribution this software is provided by the copyright holders and contributors as is and any express or implied
+        warranties including but not limited to the implied warranties of merchantability and fitness for a particular
+        purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect
+        incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or
+        services loss of use data or profits or business interruption however caused and on any theory of liability whether
+        in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this
+        software even if advised of the possibility of such damage""",
+        "redistributions in binary form must reproduce the above copyright notice",
+    ),
+    Template(
+        "bsd-3",
+        """redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met 1 redistributions of source code must retain the above copyright notice this list of
+        conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice
+        this list of conditions and the following disclaimer in the documentation and or other materials provided with the
+        distribution 3 neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission this software is provided by
+        the copyright holders and contributors as is and any express or implied warranties including but not limited to the
+        implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the
+        copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential
+        damages including but not limited to procurement of substitute goods or services loss of use data or profits or
+        business interruption however caused and on any theory of liability whether in contract strict liability or tort
+        including negligence or otherwise arising in any way out of the use of this software even if advised of the
+        possibility of such damage""",
+        "may be used to endorse or promote products derived from this software",
+    ),
+    Template(
+        "zlib",
+        """this software is provided as is without any express or implied warranty in no event will the authors be held liable
+        for any damages arising from the use of this software permission is granted to anyone to use this software for any
+        purpose including commercial applications and to alter it and redistribute it freely subject to the following
+        restrictions 1 the origin of this software must not be misrepresented you must not claim that you wrote the original
+        software if you use this software in a product an acknowledgment in the product documentation would be appreciated
+        but is not required 2 altered source versions must be plainly marked as such and must not be misrepresented as being
+        the original software 3 this notice may not be removed or altered from any source distribution""",
+        "altered source versions must be plainly marked as such",
+    ),
+    Template(
+        "bsl-1",
+        """permission is hereby granted free of charge to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license the software to use reproduce display distribute execute and
+        transmit the software and to prepare derivative works of the software and to permit third parties to whom the
+        software is furnished to do so all subject to the following the copyright notices in the software and this entire
+        statement including the above license grant this restriction and the following disclaimer must be included in all
+        copies of the software in whole or in part and all derivative works of the software unless such copies or derivative
+        works are solely in the form of machine executable object code generated by a source language processor""",
+        "machine executable object code generated by a source language processor",
+    ),
+    Template(
+        "unlicense",
+        """this is free and unencumbered software released into the public domain anyone is free to copy modify publish use
+        compile sell or distribute this software either in source code form or as a compiled binary for any purpose
+        commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or authors of
+        this software dedicate any and all copyright interest in the software to the public domain we make this dedication
+        for the benefit of the public at large and to the detriment of our heirs and successors we intend this dedication to
+        be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright
+        law""",
+        "dedicate any and all copyright interest in the software to the public domain",
+    ),
+    Template(
+        "wtfpl",
+        """everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is
+        allowed as long as the name is changed do what the fuck you want to public license terms and conditions for copying
+        distribution and modification 0 you just do what the fuck you want to""",
+        "do what the fuck you want to public license",
+    ),
+    Template(
+        "apache-2",
+        """licensed under the apache license version 2 0 the license you may not use this file except in compliance with the
+        license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable
+        law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties
+        or conditions of any kind either express or implied see the license for the specific language governing permissions
+        and limitations under the license""",
+        "see the license for the specific language governing permissions and limitations",
+    ),
+)
 #: Words that a template is filed under.
 ANCHORS = 3
-#: The least share of a notice's words in place.
+#: The least share of a template's words in place.
 SHARE = 0.5
 
 
@@ -92,36 +199,50 @@ def inverse_frequencies(docs: DataFrame, words: list[str]) -> dict[str, float]:
     return {w: math.log((everything + 1) / (n.get(i, 0) + 1)) for i, w in enumerate(order)}
 
 
-def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOTICES, anchors: int = ANCHORS, share: float = SHARE) -> DataFrame:
+def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOTICES + LICENCES, anchors: int = ANCHORS, share: float = SHARE) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score: one row for each row of ``docs`` (doc_id, text).
 
     Base templates are found wherever their words stand one after the other. Other templates need their mandatory phrase
-    in its place, half of their rare words, and ``share`` of all words in place. ``score``: the largest share found, 1 for
-    a base template. A null or empty text has no words; repeated rows stay. The templates must fit in a task's closure.
+    in its place, half of their rare words, and ``share`` of all words in place: a notice for its opening sentence, a
+    licence for its whole text. ``score``: the largest share found, 1 for a base template. A null or empty text has no
+    words; repeated rows stay; an empty table gives no rows. The templates must fit in a task's closure.
     """
     texts = [words_of(t.text) for t in templates]
     order = sorted({w for t in texts for w in t}, key=word_hash)
     vocab = np.array([word_hash(w) for w in order], np.uint64)
     code = {w: i for i, w in enumerate(order)}
     idf = inverse_frequencies(docs, order)
-    plans = []
-    for t, words in zip(templates, texts, strict=True):
+    plans, filed = [], []
+    for nth, (t, words) in enumerate(zip(templates, texts, strict=True)):
         must = words_of(t.must)
         at = next(i for i in range(len(words)) if words[i : i + len(must)] == must)
         rare = sorted(dict.fromkeys(must), key=lambda w: (-idf[w], w))[: 1 if t.base else anchors]
-        postings = [(code[w], i) for w in rare for i in range(at, at + len(must)) if words[i] == w]
-        plans.append((t, np.array([code[w] for w in words]), at, len(must), postings, len(rare)))
+        filed += [(code[w], nth, i) for w in rare for i in range(at, at + len(must)) if words[i] == w]
+        plans.append((t, np.array([code[w] for w in words]), at, len(must), len(rare)))
+    # the index: postings (template, position) of each word that templates are filed under
+    posted = np.array(sorted(filed), np.int64)
+    heads = np.searchsorted(posted[:, 0], np.arange(len(vocab) + 1))
+
+    def candidates(codes: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(template, starts, votes): where the filed words among ``codes`` put each template, and how many of them agree."""
+        n = np.append(np.diff(heads), 0)[codes]  # the last for words of no template
+        at = np.flatnonzero(n)
+        n = n[at]
+        posting = np.repeat(heads[codes[at]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        nth, start = posted[posting, 1], np.repeat(at, n) - posted[posting, 2]
+        order = np.lexsort((start, nth))
+        nth, start = nth[order], start[order]
+        new = np.flatnonzero(np.concatenate([[True], (nth[1:] != nth[:-1]) | (start[1:] != start[:-1])])[: len(nth)])
+        votes = np.diff(np.append(new, len(nth)))
+        nth, start = nth[new], start[new]
+        cuts = np.searchsorted(nth, np.arange(len(plans) + 1))
+        return [(i, start[a:b], votes[a:b]) for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
 
-    def starts(codes: np.ndarray, row: np.ndarray, first: np.ndarray, plan: tuple) -> tuple[np.ndarray, np.ndarray]:
+    def starts(codes: np.ndarray, row: np.ndarray, first: np.ndarray, plan: tuple, found: np.ndarray, votes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where a template stands, and the share of its words in place there."""
-        t, words, at, length, postings, rare = plan
-        places = [np.flatnonzero(codes == c) - i for c, i in postings]
-        if t.base:
-            places = places[:1]
-        found, votes = np.unique(np.concatenate(places), return_counts=True)
-        found = found[votes * 2 >= rare]
+        t, words, at, length, rare = plan
+        found = found[(votes * 2 >= rare) & (found + at >= 0) & (found + at + length <= len(codes))]
         # the mandatory phrase within one text
-        found = found[(found + at >= 0) & (found + at + length <= len(codes))]
         for k in range(length):
             found = found[codes[found + at + k] == words[at + k]]
         found = found[row[found + at] == row[found + at + length - 1]]
@@ -145,8 +266,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOTICES, anch
                 codes, row = _codes(hashes, vocab), np.repeat(np.arange(n), np.diff(first))
                 count, low, high = np.zeros(n, np.int64), [None] * n, [None] * n
                 labels, base, score = [set() for _ in range(n)], [set() for _ in range(n)], np.zeros(n)
-                for plan in plans:
-                    places, shares = starts(codes, row, first, plan)
+                for nth, found, votes in candidates(codes):
+                    plan = plans[nth]
+                    places, shares = starts(codes, row, first, plan, found, votes)
                     for p, s in zip(places.tolist(), shares.tolist(), strict=True):
                         r = int(row[p])
                         labels[r].add(plan[0].label)
