@@ -148,7 +148,13 @@ def envelope(rows: DataFrame, keys: list[str], requested: DataFrame | None = Non
     return every.withColumns({"records": F.coalesce("records", F.array().cast(found.schema["records"].dataType)), "count": F.coalesce("count", F.lit(0)).cast("long")})
 
 
+def iso_text(c: Column) -> Column:
+    """A timestamp as ISO text, with six digits of a second's fraction unless that is zero."""
+    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and timestamps as ISO text."""
     kinds = dict(df.dtypes)
-    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if kinds[c] == "date" else F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c) if kinds[c].startswith("timestamp") else F.col(c) for c in df.columns])
+    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if kinds[c] == "date" else iso_text(F.col(c)).alias(c) if kinds[c].startswith("timestamp") else F.col(c) for c in df.columns])

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import times
 from ..operators import aggregate, ingest, metrics, quality, query_api, validate
-from ..rules import SEVERITIES
+from ..rules import ALIASES, GATEWAY_RANGES, SEVERITIES
 from ..sources import payloads as wire
 from ..sources import tables
 from ..streaming import calendar, job
 from . import views as v
-from .registry import _WITH, CHECKED, LOCAL, ROUNDED, SAMPLES, STATS, USER, query, rounded
+from .registry import _G, _WITH, CHECKED, LOCAL, ROUNDED, SAMPLES, STATS, USER, query, rounded
 
 AS_OF = "1706659200000"
 #: What is wrong with each message of ``views.messages``.
@@ -373,11 +373,14 @@ _FIRST = {"daily": "aggregation_date", "weekly": "week_start_date", "monthly": "
 _PARTS = {"daily": "", "weekly": "year int, week_of_year int, ", "monthly": "year int, month int, "}
 
 
+def _branch_schema(kind: str) -> str:
+    return f"{_PARTS[kind]}user_id string, data_type string, timezone string, {_FIRST[kind]} date, count long, sum_value double, min_value double, max_value double, avg_value double, stddev_value double, first_value double, last_value double, record_count long"
+
+
 def _branch(kind: str, unit: str):
     @query(f"st19_job_{kind}", f"SELECT CAST(user_id AS VARCHAR) AS user_id, data_type, timezone, first_date, {ROUNDED} FROM ({local(unit, 'sound')})", "sound")
     def branch(spark, sf):
-        schema = f"{_PARTS[kind]}user_id string, data_type string, timezone string, {_FIRST[kind]} date, count long, sum_value double, min_value double, max_value double, avg_value double, stddev_value double, first_value double, last_value double, record_count long"
-        return rounded(spark.read.schema(schema).parquet(f"{_job(spark, sf)}/{kind}")).withColumnRenamed(_FIRST[kind], "first_date").drop("year", "week_of_year", "month")
+        return rounded(spark.read.schema(_branch_schema(kind)).parquet(f"{_job(spark, sf)}/{kind}")).withColumnRenamed(_FIRST[kind], "first_date").drop("year", "week_of_year", "month")
 
 
 for _kind, _unit in (("daily", "day"), ("weekly", "week"), ("monthly", "month")):
@@ -407,3 +410,96 @@ def st19_raw(spark, sf):
 def a25(spark, sf):
     rows = metrics.sink_statistics(spark.read.schema("records long, errors long, upserts long, batch long").parquet(f"{_job(spark, sf)}/metrics"))
     return rows.select("batches", "records", "errors", (F.col("upserts") > 0).alias("upserted"))
+
+
+# Whole rows of what other queries count
+
+
+@query("f2_all_columns", """SELECT 'device-' || user_id AS device_id, CAST(user_id AS VARCHAR) AS user_id, CAST(sample_id AS VARCHAR) AS sample_id, data_type, value, 'count' AS unit, start_date, end_date,
+  CASE WHEN sample_id % 3 = 0 THEN 'org.example.app' END AS source_bundle, 'ko_KR' AS locale, sample_id % 2 = 0 AS is_synced, CASE WHEN sample_id % 5 = 0 THEN start_date ELSE 1706659200000 END AS created_at,
+  epoch_ms(date_trunc('hour', start_ts)) AS payload_timestamp, '1.0' AS app_version, 1706659200000 AS processing_time, CASE WHEN sample_id % 7 = 0 THEN 'UTC' ELSE timezone END AS timezone, CASE WHEN sample_id % 7 = 1 THEN 540 END AS timezone_offset
+FROM samples WHERE user_id % 50 <> 7""", "samples")
+def f2_all(spark, sf):
+    """All columns of flat measurements; of the optional fields some are there and some are not."""
+    i = lambda s: s["id"].cast("long")
+    changed = {
+        "sourceBundle": lambda s: F.when(i(s) % 3 == 0, "org.example.app"),
+        "isSynced": lambda s: F.when(i(s) % 2 == 0, True),
+        "createdAt": lambda s: F.when(i(s) % 5 == 0, s["startDate"]),
+        "timezone": lambda s: F.when(i(s) % 7 != 0, s["timezone"]),
+        "timezoneOffset": lambda s: F.when(i(s) % 7 == 1, 540),
+    }
+
+    def sample(s):
+        for name, value in changed.items():
+            s = s.withField(name, value(s))
+        return s
+
+    rows = v.stored_payloads(spark, sf).withColumn("samples", F.transform("samples", sample))
+    rows = ingest.flatten(ingest.sanitise(rows), F.lit(v.AS_OF_MS))
+    return rows.withColumn("locale", F.try_element_at("metadata", F.lit("locale"))).drop("metadata")
+
+
+@query("f11_error_rows", f""", numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id, date_trunc('hour', start_ts) ORDER BY sample_id) - 1 AS INTEGER) AS place, date_trunc('hour', start_ts) AS hour FROM samples)
+SELECT CAST(user_id AS VARCHAR) AS user_id, hour, place, data_type, 'not a number' AS error FROM numbered WHERE sample_id % 19 = 0
+UNION ALL SELECT CAST(user_id AS VARCHAR), hour, place, data_type, 'out of range' FROM numbered WHERE sample_id % 19 <> 0 AND {_G}
+UNION ALL SELECT CAST(user_id AS VARCHAR), hour, place, data_type, 'not positive' FROM numbered WHERE sample_id % 19 <> 0 AND value <= 0 AND data_type <> 'bodyTemperature'""", "samples")
+def f11_rows(spark, sf):
+    """Each fault of each sample with the sample's place in its payload."""
+    no_number = lambda s: s.withField("value", F.when(s["id"].cast("long") % 19 == 0, "n/a").otherwise(s["value"]))
+    rows = ingest.payload_errors(v.stored_payloads(spark, sf).withColumn("samples", F.transform("samples", no_number)), GATEWAY_RANGES)
+    rows = rows.select("userId", "timestamp", F.explode("errors").alias("e"))
+    return rows.select(F.col("userId").alias("user_id"), F.to_timestamp("timestamp").cast("timestamp_ntz").alias("hour"), F.col("e.index").alias("place"), F.col("e.type").alias("data_type"), F.col("e.error").alias("error"))
+
+
+@query("f12_rejected_types", "SELECT CAST(user_id AS VARCHAR) AS user_id, date_trunc('hour', start_ts) AS hour, user_id % 10 <> 3 AND bool_and(sample_id % 13 <> 0) AS accepted FROM samples GROUP BY user_id, 2", "samples")
+def f12_rejected(spark, sf):
+    """Payloads with unknown types or no samples at all are not accepted; other names of known types are."""
+    i = lambda s: s["id"].cast("long")
+    other = next(iter(ALIASES.values()))
+    kind = lambda s: s.withField("type", F.when(i(s) % 13 == 0, "shoeSize").when(i(s) % 13 == 1, other).otherwise(s["type"]))
+    rows = v.stored_payloads(spark, sf).withColumn("samples", F.filter(F.transform("samples", kind), lambda s: F.col("userId").cast("long") % 10 != 3))
+    return rows.select(F.col("userId").alias("user_id"), F.to_timestamp("timestamp").cast("timestamp_ntz").alias("hour"), ingest.accepted_types(rows).alias("accepted"))
+
+
+@query("s14_iso_text", """SELECT sample_id, strftime(start_ts, '%Y-%m-%d') AS day, CASE WHEN sample_id % 3 = 0 THEN NULL
+  WHEN sample_id % 4 = 0 THEN strftime(date_trunc('second', start_ts), '%Y-%m-%dT%H:%M:%S') ELSE strftime(date_trunc('second', start_ts) + INTERVAL 1 MICROSECOND * (sample_id % 4 * 1000 + 5), '%Y-%m-%dT%H:%M:%S.%f') END AS at FROM samples""", "samples")
+def s14(spark, sf):
+    i = F.col("sample_id")
+    part = F.timestamp_micros(F.unix_micros(F.date_trunc("second", "start_ts")) + F.when(i % 4 == 0, 0).otherwise(i % 4 * 1000 + 5))
+    return query_api.as_text(v.samples(spark, sf).select("sample_id", F.to_date("start_ts").alias("day"), F.when(i % 3 != 0, part).alias("at")))
+
+
+@query("s21_drift", """SELECT name, change, breaking_backward, breaking_forward, CASE name WHEN 'value' THEN (SELECT count(value) FROM samples) WHEN 'zone' THEN (SELECT count(*) FROM samples WHERE sample_id % 3 <> 0)
+  WHEN 'bucket' THEN (SELECT count(*) FROM samples) WHEN 'sample_id' THEN (SELECT count(*) FROM samples) END AS stored_values
+FROM (VALUES ('sample_id', 'none', false, false), ('bucket', 'widened', false, true), ('value', 'type_changed', true, true), ('zone', 'removed', true, false), ('note', 'added', false, false)) t(name, change, breaking_backward, breaking_forward)""", "samples")
+def s21(spark, sf):
+    """What changes between two versions of a stored table, and how many stored values each change meets."""
+    path = v.work(spark, "drift")
+    i = F.col("sample_id")
+    old = v.samples(spark, sf).select("sample_id", (i % 100).cast("int").alias("bucket"), "value", F.when(i % 3 != 0, F.col("timezone")).alias("zone"))
+    old.write.parquet(f"{path}/old")
+    stored = spark.read.schema(old.schema).parquet(f"{path}/old")
+    new, _ = tables.migrate(stored, [("widen", "bucket", "bigint"), ("drop", "zone"), ("add", "note", "string")])
+    new.withColumn("value", F.col("value").cast("string")).write.parquet(f"{path}/new")
+    of = lambda name: tables.fields(spark, spark.read.parquet(f"{path}/{name}").schema)
+    report = lambda mode: tables.drift(of("old"), of("new"), mode).withColumnRenamed("breaking", f"breaking_{mode.lower()}")
+    counts = stored.agg(*[F.count(c).alias(c) for c in stored.columns]).unpivot([], stored.columns, "name", "stored_values")
+    return report("BACKWARD").join(report("FORWARD"), ["name", "change"]).join(counts, "name", "left")
+
+
+@query("t4_scan_limit", "SELECT least(50, count(*)) AS n, least(1, count(*)) AS n_types FROM daily WHERE data_type = 'steps'", "daily")
+def t4(spark, sf):
+    """The limit of a scan is the feature: any 50 rows that fit."""
+    rows = tables.scan(spark, "daily", _database(spark, sf), F.col("data_type") == "steps", ["user_id", "data_type"], limit=50)
+    return rows.agg(F.count("*").alias("n"), F.count_distinct("data_type").alias("n_types"))
+
+
+@query("st14_repeated_batch", f"SELECT CAST(user_id AS VARCHAR) AS user_id, data_type, timezone, first_date, {ROUNDED} FROM ({local('day', 'sound')})", "sound")
+def st14(spark, sf):
+    """A batch that is written again, as after a failure before its commit, changes nothing."""
+    root, rows = v.work(spark, "repeated"), v.messages(spark, sf).select("value")
+    write = job.batch_writer(root, ("daily",), payloads=True, now_ms=F.lit(v.AS_OF_MS))
+    for half in (0, 1, 1):
+        write(rows.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half), half)
+    return rounded(spark.read.schema(_branch_schema("daily")).parquet(f"{root}/daily")).withColumnRenamed(_FIRST["daily"], "first_date")
