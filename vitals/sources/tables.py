@@ -54,9 +54,13 @@ def stored(spark: SparkSession, path: str) -> bool:
 
 
 def newest(df: DataFrame, keys: list[str], version: str = "updated_at") -> DataFrame:
-    """The newest row of each key, whole: an aggregate with partial sums, so a much updated key is no hot task."""
+    """The newest row of each key, whole: an aggregate with partial sums, so a much updated key is no hot task.
+
+    Of rows with one version the largest by their other columns stays (maps aside), so repeated runs agree.
+    """
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), version).alias("__row")).select(*keys, "__row.*").select(*df.columns)
+    order = F.struct(version, *[c for c, kind in df.dtypes if c in rest and "map<" not in kind])
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row")).select(*keys, "__row.*").select(*df.columns)
 
 
 def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partitions: list[str], staging: str, version: str = "updated_at") -> None:
