@@ -382,3 +382,54 @@ def test_scratch_folders_go(spark, tmp_path):
     assert b.count() == 3
     with pytest.raises(Exception):  # noqa: B017
         spark.read.parquet(a.inputFiles()[0]).count()
+
+
+# Names that clash, rows of nulls
+
+
+TAKEN = (
+    "__key", "__nth", "__rows", "__copies", "__score", "Key", "hash", "text_hash", "n", "size", "range", "level", "name", "n_rows", "component", "component_id", "cell", "score", "kept", "keep_id", "copies", "target", "taken", "least_id", "labels", "start", "length", "toxic", "held_out",
+)
+
+
+def test_columns_with_the_operators_own_names(spark):
+    texts = [f"the {i % 9} text that is told again and again by number {i % 9} under the mit license" for i in range(24)] + [None, "", "one two"]
+    plain = docs(spark, texts)
+    clash = plain.withColumns({c: F.lit(7) for c in TAKEN})
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, toxic int").withColumn("text", F.lit("clash")).withColumn("hash", F.lit(1))
+    rows = lambda df, columns=None: sorted(map(str, df.select(*(columns or df.columns)).collect()))
+    for f in (
+        exact_dedup.exact_dedup, ngram_join.linked, source_mix.mix, license_scan.scan, lambda d: toxicity.toxicity(d, labels), lambda d: packing.pack(d.coalesce(1), queries.tokenizer_path()),
+    ):
+        assert rows(f(clash)) == rows(f(plain))
+    for f in (exact_dedup.keep_first, ngram_join.one_of_each, source_mix.mixed, lambda d: toxicity.without_toxic(d, labels)):
+        out = f(clash)
+        assert out.columns == clash.columns and rows(out, plain.columns) == rows(f(plain)) and out.where(" or ".join(f"`{c}` <> 7" for c in TAKEN)).isEmpty()
+
+
+def test_other_tables_with_the_operators_own_names(spark):
+    rows = lambda df: sorted(map(str, df.collect()))
+    with_columns = lambda df, *names: df.withColumns({c: F.lit(7) for c in names})
+    pages = spark.createDataFrame([(1, "http://a.example.org/es/x", "<p>Some words that are prose.</p>"), (None, None, None), (1, "", "")], "page_id long, url string, html string")
+    clash = with_columns(pages, "host", "path", "rule", "verdict", "text", "n_chars", "candidates", "token", "n")
+    for f in (html_extract.extract, url_filter.judge):
+        assert rows(f(clash)) == rows(f(pages)) and f(pages).count() == 3
+    vectors = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(60)], "vec_id long, embedding array<double>")
+    clash = with_columns(vectors, "rank", "score", "list", "lists", "query_id", "id", "x", "y", "n")
+    near = lambda df: ann.search(df, F.col("vec_id") % 20 == 0, list_size=8)
+    assert rows(near(clash)) == rows(near(vectors))
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (None, None, None, None)], "conv_id long, turn long, role string, text string")
+    clash = with_columns(turns, "seq", "kind", "message", "start", "formatted", "parts", "from", "cut")
+    chats = lambda df: chat_format.digests(chat_format.format_chats(chat_format.as_events(df)))
+    assert rows(chats(clash)) == rows(chats(turns)) and chats(turns).count() == 2
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 3, [(None, "a b c", None, None, None)] * 3 + [(1, None, None, None, None), (1, "", "en", "a", 0)]], ids=["empty", "nulls", "mixed"])
+def test_pipeline_of_nulls_and_of_nothing(spark, tmp_path, rows):
+    import corpus_pipeline
+
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(None, None)] if rows else [], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert {"doc_id", "start", "length", "sequence_id"} <= set(out.columns)
+    assert out.isEmpty() == (not any(r[1] for r in rows))  # a source without words has no budget
