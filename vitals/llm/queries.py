@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, exact_dedup, html_extract, license_scan, ngram_join, packing, source_mix, toxicity, url_filter
+from . import ann, chat_format, exact_dedup, html_extract, license_scan, ngram_join, packing, piece_codec, source_mix, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = piece_codec.code(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return rows.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_toxicity, op3_chat_formatting, op4_url_filter, op5_ngram_jaccard_join, op6_source_mix, op7_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_packing)
+    for f in (op1_html_extraction, op2_toxicity, op3_chat_formatting, op4_url_filter, op5_ngram_jaccard_join, op6_source_mix, op7_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_packing, op11_sentencepiece)
 }
