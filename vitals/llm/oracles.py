@@ -69,4 +69,41 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-ORACLES = {"op3_chat_formatting": OP3, "op4_url_filter": OP4, "op6_source_mix": OP6, "op7_exact_dedup": OP7}
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT *, md5(length(role) || ':' || role || text) AS print,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text)) AS place FROM t),
+-- the checksum of each id's digits: eight steps for each of them
+k AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ord(x)),
+             lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (
+  SELECT k.conv_id, 0 AS own, o.place, o.print, length(o.text) AS chars FROM k JOIN o ON o.conv_id = k.base AND o.place <= k.h
+  UNION ALL SELECT k.conv_id, 1, o.place, o.print, length(o.text) FROM k JOIN o ON o.conv_id = k.conv_id AND o.place > k.h),
+-- each conversation's beginnings
+p AS (
+  SELECT conv_id, row_number() OVER w AS depth, chars, md5(string_agg(print, '') OVER w) AS node
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY own, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM k),
+q AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+n AS (
+  SELECT node, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM q GROUP BY node, parent, depth),
+m AS (
+  SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY 1),
+-- each node and the nodes above it, by the beginnings of its smallest member
+s AS (
+  SELECT p.node, count(*) FILTER (m.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+  FROM n LEFT JOIN m USING (node) JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(m.n_children, 0) AS n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN s USING (node) LEFT JOIN m USING (node) LEFT JOIN n u ON u.node = n.parent
+"""
+
+ORACLES = {"op3_chat_formatting": OP3, "op4_url_filter": OP4, "op6_source_mix": OP6, "op7_exact_dedup": OP7, "op12_prefix_trie": OP12}

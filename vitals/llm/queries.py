@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, exact_dedup, html_extract, license_scan, ngram_join, packing, piece_codec, source_mix, toxicity, url_filter
+from . import ann, chat_format, exact_dedup, html_extract, license_scan, ngram_join, packing, piece_codec, prefix_trie, source_mix, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +68,11 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_toxicity, op3_chat_formatting, op4_url_filter, op5_ngram_jaccard_join, op6_source_mix, op7_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_packing, op11_sentencepiece)
+    for f in (op1_html_extraction, op2_toxicity, op3_chat_formatting, op4_url_filter, op5_ngram_jaccard_join, op6_source_mix, op7_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_packing, op11_sentencepiece, op12_prefix_trie)
 }
