@@ -106,4 +106,21 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id,
 FROM n JOIN s USING (node) LEFT JOIN m USING (node) LEFT JOIN n u ON u.node = n.parent
 """
 
-ORACLES = {"op3_chat_formatting": OP3, "op4_url_filter": OP4, "op6_source_mix": OP6, "op7_exact_dedup": OP7, "op12_prefix_trie": OP12}
+OP13 = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+ORACLES = {"op3_chat_formatting": OP3, "op4_url_filter": OP4, "op6_source_mix": OP6, "op7_exact_dedup": OP7, "op12_prefix_trie": OP12, "op13_hard_negatives": OP13}

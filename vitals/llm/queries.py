@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, exact_dedup, html_extract, license_scan, ngram_join, packing, piece_codec, prefix_trie, source_mix, toxicity, url_filter
+from . import ann, chat_format, exact_dedup, hard_negatives, html_extract, license_scan, ngram_join, packing, piece_codec, prefix_trie, source_mix, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,7 +72,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_toxicity, op3_chat_formatting, op4_url_filter, op5_ngram_jaccard_join, op6_source_mix, op7_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_packing, op11_sentencepiece, op12_prefix_trie)
+    for f in (op1_html_extraction, op2_toxicity, op3_chat_formatting, op4_url_filter, op5_ngram_jaccard_join, op6_source_mix, op7_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_packing, op11_sentencepiece, op12_prefix_trie, op13_hard_negatives)
 }
