@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zoneinfo
 from dataclasses import dataclass
 
@@ -104,10 +105,17 @@ def parse_date(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd"))))
 
 
+@functools.cache
+def zone_names(spark: SparkSession) -> tuple[str, ...]:
+    """All names of the zone database, with a slash or not, that the JVM knows too; two of them name no zone."""
+    zone = spark._jvm.java.time.ZoneId
+    known = set(zone.getAvailableZoneIds()) | set(zone.SHORT_IDS.keySet())
+    return tuple(sorted((zoneinfo.available_timezones() - {"Factory", "localtime"}) & known))
+
+
 def zones(spark: SparkSession) -> DataFrame:
     """(zone): the valid zone names, a few hundred."""
-    names = sorted(z for z in zoneinfo.available_timezones() if "/" in z or z == "UTC")
-    return small_table(spark, "zone", [(z,) for z in names if not z.startswith(("posix/", "right/"))])
+    return small_table(spark, "zone", [(z,) for z in zone_names(spark)])
 
 
 def with_zone(df: DataFrame, column: str = "timezone", default: str = "UTC", into: str = "resolved_timezone") -> DataFrame:

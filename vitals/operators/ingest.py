@@ -14,8 +14,13 @@ def filled(c: Column) -> Column:
 
 
 def sanitise(payloads: DataFrame) -> DataFrame:
-    """Trims ids, app version and each sample's id, type, unit, and its map's keys and values."""
-    clean_map = lambda m: F.transform_values(F.transform_keys(m, lambda k, _: F.trim(k)), lambda _, v: F.trim(v))
+    """Trims ids, app version and each sample's id, type, unit, and its map's keys and values. Of keys that are equal then, the last one's value stays."""
+
+    def clean_map(m: Column) -> Column:
+        entries = F.transform(F.map_entries(m), lambda e: F.struct(F.trim(e["key"]).alias("key"), F.trim(e["value"]).alias("value")))
+        keys = F.transform(entries, lambda e: e["key"])
+        last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+        return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last))
 
     def clean(s: Column) -> Column:
         for name in ("id", "type", "unit"):

@@ -470,10 +470,23 @@ def d11(spark, sf):
     return v.samples(spark, sf).select("sample_id", ms(F.concat(text, F.lit("Z"))).alias("utc_ms"), ms(F.concat(text, F.lit("+09:00"))).alias("seoul_ms"), ms(F.concat(F.lit("x"), text)).alias("junk_ms"))
 
 
-@query("d13_resolve_zone", "SELECT sample_id, CASE WHEN sample_id % 5 = 0 THEN 'Asia/Tokyo' ELSE timezone END AS resolved FROM samples", "samples")
+#: Zones as devices state them: names with and without a slash, unknown and missing ones.
+STATED_ZONES = ("Mars/Olympus", None, "Japan", "ROK", "GMT", "EST", "Singapore", "PST8PDT", "", "asia/seoul", "Asia/Seoul", "America/Argentina/Buenos_Aires")
+_STATED = "[" + ", ".join("NULL" if z is None else f"'{z}'" for z in STATED_ZONES) + f"][CAST(sample_id % {len(STATED_ZONES)} AS INTEGER) + 1]"
+_RESOLVED = f"CASE WHEN {_STATED} IS NULL OR {_STATED} IN ('Mars/Olympus', '', 'asia/seoul') THEN 'UTC' ELSE {_STATED} END"
+
+
+def stated_zone(sample_id):
+    return F.element_at(F.array(*map(F.lit, STATED_ZONES)), (sample_id % len(STATED_ZONES) + 1).cast("int"))
+
+
+@query("d13_resolve_zone", f"""
+SELECT sample_id, zone AS resolved, CAST(extract(hour FROM (start_ts AT TIME ZONE 'UTC') AT TIME ZONE zone) AS INTEGER) AS local_hour
+FROM (SELECT *, {_RESOLVED.replace("'UTC'", "'Asia/Tokyo'")} AS zone FROM samples)""", "samples")
 def d13(spark, sf):
-    rows = v.samples(spark, sf).withColumn("timezone", F.when(F.col("sample_id") % 5 == 0, "Mars/Olympus").otherwise(F.col("timezone")))
-    return times.with_zone(rows, default="Asia/Tokyo").select("sample_id", F.col("resolved_timezone").alias("resolved"))
+    rows = v.samples(spark, sf).withColumn("timezone", stated_zone(F.col("sample_id")))
+    rows = times.with_zone(rows, default="Asia/Tokyo")
+    return rows.select("sample_id", F.col("resolved_timezone").alias("resolved"), F.hour(F.from_utc_timestamp("start_ts", F.col("resolved_timezone"))).alias("local_hour"))
 
 
 @query("d15_zone_offset", f"SELECT sample_id, CAST(epoch({LOCAL}) - epoch(start_ts) AS BIGINT) // 60 AS offset_minutes, abs(CAST(epoch({LOCAL}) - epoch(start_ts) AS BIGINT) // 60 - 540) <= 60 AS agrees FROM samples", "samples")

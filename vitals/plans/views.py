@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import calendar_aggregate
@@ -95,9 +95,21 @@ AGGREGATES = {"daily": daily, "weekly": weekly, "monthly": monthly}
 _schemas: dict[str, str] = {}
 
 
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the files that stored tables are derived from: what is stored from other files isn't read."""
+    out = []
+    for name in ("events", "orders"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return repr(sorted(out))
+
+
 def _kept(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame], write: Callable[[DataFrame, str], None], more: str = "") -> DataFrame:
-    """A table derived from ``sf_dir`` that the first call of an application writes and later ones read."""
-    of = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    """A table derived from ``sf_dir`` that the first call of an application writes and later ones read, as long as the files there are the same."""
+    of = hashlib.md5(f"{sf_dir.rstrip('/')} {_state(spark, sf_dir)}".encode()).hexdigest()[:12]
     path = f"{work_root(spark)}/vitals-stored-{spark.sparkContext.applicationId}-{of}-{name}"
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if path not in _schemas or not tables.stored(spark, path):
@@ -123,8 +135,8 @@ def stored_days(spark: SparkSession, sf_dir: str, first: dt.date, last: dt.date)
     return stored(spark, sf_dir, "daily").where(F.col("year").between(first.year, last.year))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Framed messages (sample_id, value) of one sample each. By sample_id: broken frames and texts, samples without type, number or time, and bad measurements."""
+def messages(spark: SparkSession, sf_dir: str, zone: Column | None = None) -> DataFrame:
+    """Framed messages (sample_id, value) of one sample each, in ``zone`` if that is given. By sample_id: broken frames and texts, samples without type, number or time, and bad measurements."""
     i = F.col("sample_id")
     iso = lambda ms: F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     start = F.when(i % 17 == 5, -86_400_000).otherwise(F.col("start_date"))
@@ -132,7 +144,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(i % 17 == 3, -1 - F.col("value")).otherwise(F.col("value"))
     sample = F.struct(
         i.cast("string").alias("id"), F.when(i % 13 != 1, F.col("data_type")).alias("type"), F.when(i % 13 == 0, "n/a").otherwise(value.cast("string")).alias("value"), F.lit("count").alias("unit"),
-        F.when(i % 13 == 2, "yesterday").otherwise(iso(start)).alias("startDate"), iso(end).alias("endDate"), F.col("timezone"),
+        F.when(i % 13 == 2, "yesterday").otherwise(iso(start)).alias("startDate"), iso(end).alias("endDate"), (F.col("timezone") if zone is None else zone).alias("timezone"),
     )
     body = F.to_json(F.struct(F.lit("device").alias("deviceId"), F.col("user_id").cast("string").alias("userId"), F.lit("2024-01-31T00:00:00Z").alias("timestamp"), F.array(sample).alias("samples")))
     body = F.when(i % 11 == 1, '{"userId": ').otherwise(body)

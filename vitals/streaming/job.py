@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.times import utc_window
+from ..functions.times import iso_to_millis, utc_window, with_zone
 from ..operators.aggregate import calendar_aggregate, fixed_aggregate
-from ..operators.ingest import flatten, sanitise
+from ..operators.ingest import filled, flatten, sanitise
 from ..operators.validate import error_records, split, validate_light
 from ..schemas import ERROR
 from ..sources.payloads import decode_wire, parse_json_body
@@ -18,19 +18,38 @@ from ..sources.tables import drift, fields, gate, stored, upsert, write_errors,
 from .calendar import recompute_touched, touched_days
 
 BRANCHES = ("daily", "weekly", "monthly")
+#: A batch's counts: rows and messages taken, faulty ones, windows written, payloads and samples that flattening leaves out.
+METRICS = "batch long, records long, errors long, upserts long, dropped_payloads long, dropped_samples long"
 PARTITION = {"daily": ["data_type", "aggregation_date"], "weekly": ["data_type", "year", "week_of_year"], "monthly": ["data_type", "year", "month"]}
 KEY = {"daily": ["user_id", "data_type", "timezone", "aggregation_date"], "weekly": ["user_id", "data_type", "timezone", "year", "week_of_year"], "monthly": ["user_id", "data_type", "timezone", "year", "month"]}
 
 
 def timed(df: DataFrame) -> DataFrame:
-    """``validate_light``, and rows without a time above 0 are rejected as well."""
+    """``validate_light``, and rows without a time above 0 are rejected as well.
+
+    ``timezone`` becomes a valid name, UTC for unknown and missing ones, so that no conversion behind can stop;
+    ``stated_timezone`` keeps what was there.
+    """
     rows = validate_light(df)
+    if "timezone" in df.columns:
+        rows = with_zone(rows.withColumn("stated_timezone", F.col("timezone")), "stated_timezone", into="timezone")
     return rows.withColumn("reject_reason", F.coalesce("reject_reason", F.when(~F.coalesce(F.unix_millis("start_ts") > 0, F.lit(False)), "invalid_timestamp")))
 
 
+def _parsed(stream: DataFrame) -> DataFrame:
+    return parse_json_body(decode_wire(stream)).withColumn("fault", F.coalesce("wire_error", F.when(F.coalesce("payload.userId", "payload.deviceId").isNull(), "DESERIALIZATION_ERROR")))
+
+
+def message_counts(stream: DataFrame) -> DataFrame:
+    """One row for framed payloads (value): messages, unreadable, dropped_payloads (readable ones without both ids and a time, or without samples), samples (of the others)."""
+    sound = filled(F.col("payload.userId")) & filled(F.col("payload.deviceId")) & iso_to_millis(F.col("payload.timestamp")).isNotNull() & (F.size("payload.samples") > 0)
+    rows = _parsed(stream).select("fault", F.coalesce(sound, F.lit(False)).alias("sound"), F.size("payload.samples").alias("n"))
+    return rows.agg(F.count("*").alias("messages"), F.count("fault").alias("unreadable"), F.count_if(F.col("fault").isNull() & ~F.col("sound")).alias("dropped_payloads"), F.coalesce(F.sum(F.when(F.col("fault").isNull() & F.col("sound"), F.col("n"))), F.lit(0)).alias("samples"))
+
+
 def decoded(stream: DataFrame, now_ms: Column) -> tuple[DataFrame, DataFrame]:
     """Measurements with ``start_ts`` of framed payloads (value), and error rows of the messages that can't be read."""
-    rows = parse_json_body(decode_wire(stream)).withColumn("fault", F.coalesce("wire_error", F.when(F.coalesce("payload.userId", "payload.deviceId").isNull(), "DESERIALIZATION_ERROR")))
+    rows = _parsed(stream)
     payloads = sanitise(rows.where("fault is null").select("payload.*"))
     flat = flatten(payloads, now_ms).withColumn("start_ts", F.timestamp_millis("start_date"))
     bad = rows.where("fault is not null").select(F.hex("value").alias("message"), F.lit("message can't be read").alias("reason"))
@@ -69,9 +88,9 @@ def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool =
                 days = good.select(utc_window(F.col("start_ts"), "daily").first_date.alias("start_day")).distinct()
                 new = fixed_aggregate(near(days), "daily").withColumn("updated_at", F.lit(batch_id).cast("long"))
                 upsert(spark, f"{root}/fixed", new, ["user_id", "data_type", "aggregation_date"], ["data_type", "aggregation_date"], f"{root}/staging-fixed")
-            unread = unreadable.count() if unreadable is not None else 0
-            counts = (batch_id, seen.get["records"] + unread, seen.get["errors"] + unread, upserts)
-            table = spark.createDataFrame([counts], "batch long, records long, errors long, upserts long")
+            sent = message_counts(batch).first().asDict() if payloads else {"unreadable": 0, "dropped_payloads": 0, "samples": seen.get["records"]}
+            counts = (batch_id, seen.get["records"] + sent["unreadable"], seen.get["errors"] + sent["unreadable"], upserts, sent["dropped_payloads"], sent["samples"] - seen.get["records"])
+            table = spark.createDataFrame([counts], METRICS)
             table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/metrics")
         finally:
             rows.unpersist()
@@ -86,7 +105,7 @@ def batch_schema(df: DataFrame) -> str:
 def checked_schema(spark: SparkSession, root: str, schema: DataFrame, allow_breaking: bool = False) -> None:
     """The gate at the start: stops if ``schema`` (its columns) breaks the stored raw table."""
     if stored(spark, f"{root}/raw"):
-        old = spark.read.parquet(f"{root}/raw").drop("start_day", "batch")
+        old = spark.read.parquet(f"{root}/raw").drop("start_day", "batch", "stated_timezone")
         gate(drift(fields(spark, old.schema), fields(spark, schema.schema)), allow_breaking)
 
 
