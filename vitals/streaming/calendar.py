@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.times import local_window
 from ..operators.aggregate import calendar_aggregate
+from ..sources.tables import newest
 
 #: Watermark delay and allowed lateness by kind.
 DELAY = "10 minutes"
@@ -58,6 +59,65 @@ class WindowCloser(StatefulProcessor):
         pass
 
 
+class RefiringWindow(WindowCloser):
+    """Statistics of a local window that is emitted at its end and again with each batch of late rows, until the lateness is over.
+
+    Two timers: at the window's end the first result is emitted, and when the allowed lateness has passed the state is
+    cleared. ``firing`` numbers the results. Rows that come after that go.
+    """
+
+    def __init__(self, lateness_ms: int) -> None:
+        self.lateness_ms = lateness_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.fired = handle.getValueState("fired", "n int")
+
+    def _result(self, key) -> Iterator[pd.DataFrame]:
+        n, total, mean, m2, low, high, _, _, fv, _, _, lv = self.state.get()
+        firing = (self.fired.get()[0] if self.fired.exists() else 0) + 1
+        self.fired.update((firing,))
+        yield pd.DataFrame({"user_id": [key[0]], "data_type": [key[1]], "timezone": [key[2]], "window_start": [key[3]], "window_end": [key[4]], "count": [n], "sum_value": [total], "min_value": [low], "max_value": [high], "avg_value": [mean], "stddev_value": [max(0.0, m2 / n) ** 0.5], "first_value": [fv], "last_value": [lv], "firing": [firing]})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now, before = timerValues.getCurrentWatermarkInMs(), self.state.get()[0] if self.state.exists() else 0
+        if now >= key[4] + self.lateness_ms:
+            return
+        yield from super().handleInputRows(key, rows, timerValues)
+        if not self.state.exists():
+            return
+        self.handle.registerTimer(int(key[4]) + self.lateness_ms)
+        if now >= key[4] and self.fired.exists() and self.state.get()[0] > before:
+            yield from self._result(key)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        over = expiredTimerInfo.getExpiryTimeInMs() >= key[4] + self.lateness_ms
+        if self.state.exists() and not self.fired.exists():
+            yield from self._result(key)
+        if over:
+            self.state.clear()
+            self.fired.clear()
+
+
+def refiring_windows(stream: DataFrame, kind: str, delay: str = DELAY, lateness: str | None = None) -> DataFrame:
+    """Statistics of each local window of ``stream``, ``firing`` 1 once the watermark passes its end, and then again with each batch of late rows.
+
+    ``lateness``: how long after its end a window stays open, by default that of ``kind``. Rows of an open window count
+    however late they are, others go; ``latest_firings`` or an upsert by the window's key gives the last results. Needs the
+    RocksDB state store.
+    """
+    lateness_ms = int(pd.Timedelta(lateness or LATENESS[kind]).total_seconds() * 1000)
+    w = local_window(F.col("start_ts"), F.col("timezone"), kind)
+    # the event time itself isn't handed on: else Spark would drop rows before the watermark whose windows are open
+    rows = stream.withWatermark("start_ts", delay).select("user_id", "data_type", "timezone", w.start_ms.alias("window_start"), w.end_ms.alias("window_end"), F.unix_millis("start_ts").alias("at_ms"), "sample_id", "value")
+    return rows.groupBy("user_id", "data_type", "timezone", "window_start", "window_end").transformWithStateInPandas(RefiringWindow(lateness_ms), f"{OUTPUT}, firing int", "append", "EventTime")
+
+
+def latest_firings(results: DataFrame) -> DataFrame:
+    """The last result of each window of ``refiring_windows``."""
+    return newest(results, ["user_id", "data_type", "timezone", "window_start", "window_end"], "firing")
+
+
 def watermark_delay(kind: str) -> str:
     """The watermark's delay and the lateness that windows of ``kind`` allow: rows up to that late still count."""
     return f"{DELAY} {LATENESS[kind]}"
@@ -95,5 +155,42 @@ def without_redelivered(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     return stream.withWatermark("start_ts", delay).dropDuplicatesWithinWatermark(["sample_id"])
 
 
+class Repeats(StatefulProcessor):
+    """Rows whose id hasn't come within the lifetime of the ids kept; an id's lifetime starts anew with each row that passes."""
+
+    def __init__(self, key: str, lifetime_ms: int) -> None:
+        self.key, self.lifetime_ms = key, lifetime_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "id string", "at long", ttlDurationMs=self.lifetime_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        here: set[str] = set()
+        for part in rows:
+            fresh = []
+            for i in part[self.key].astype(str):
+                new = i not in here and not self.seen.containsKey((i,))
+                if new:
+                    self.seen.updateValue((i,), (0,))
+                here.add(i)
+                fresh.append(new)
+            yield part[fresh].drop(columns="__bucket", errors="ignore")
+
+    def close(self) -> None:
+        pass
+
+
+def without_repeats(stream: DataFrame, key: str = "sample_id", lifetime: str = "48 hours", buckets: int = 64) -> DataFrame:
+    """One row of each ``key`` within a ``lifetime`` in processing time, whatever the event times are.
+
+    Ids are kept in map states of ``buckets`` groups by hash, so no group is hot, and expire by themselves. Rows without
+    the key are one id. Needs the RocksDB state store. Such state asks for one more batch without end, so an availableNow
+    trigger does not come to its end with it: take an interval or a single batch.
+    """
+    rows = stream.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    lifetime_ms = int(pd.Timedelta(lifetime).total_seconds() * 1000)
+    return rows.groupBy("__bucket").transformWithStateInPandas(Repeats(key, lifetime_ms), stream.schema, "append", "ProcessingTime")
+
+
 def rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

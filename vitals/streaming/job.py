@@ -15,7 +15,9 @@ from ..operators.validate import error_records, split, validate_light
 from ..schemas import ERROR
 from ..sources.payloads import decode_wire, parse_json_body
 from ..sources.tables import drift, fields, gate, stored, upsert, write_errors, write_partitioned
+from . import partials as parts
 from .calendar import recompute_touched, touched_days
+from .clocks import SourceClocks
 
 BRANCHES = ("daily", "weekly", "monthly")
 #: A batch's counts: rows and messages taken, faulty ones, windows written, payloads and samples that flattening leaves out.
@@ -56,10 +58,12 @@ def decoded(stream: DataFrame, now_ms: Column) -> tuple[DataFrame, DataFrame]:
     return flat, error_records(bad, "DESERIALIZATION_ERROR", now_ms, "reason")
 
 
-def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, payloads: bool = False, now_ms: Column | None = None) -> Callable[[DataFrame, int], None]:
+def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, payloads: bool = False, now_ms: Column | None = None, partial_sums: bool = False, clocks: SourceClocks | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function. A batch that is run again writes the same: raw and error rows are stored by batch id, windows are recomputed and upserted.
 
-    Raw rows are stored by UTC day, and a batch reads only the days that its windows reach.
+    Raw rows are stored by UTC day, and a batch reads only the days that its windows reach. With ``partial_sums`` it reads
+    no raw rows: what it adds is stored as partial sums (``partials``), from which the windows that it touches are merged;
+    samples must then come once, see ``calendar.without_repeats``. ``clocks`` move with each batch, by its sound rows.
     """
     now = now_ms if now_ms is not None else F.unix_millis(F.current_timestamp())
 
@@ -79,8 +83,16 @@ def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool =
             raw = spark.read.schema(f"{batch_schema(good)}, start_day date, batch long").parquet(f"{root}/raw").drop("batch")
             near = lambda days: raw.join(F.broadcast(days), "start_day", "left_semi").drop("start_day").dropDuplicates(["sample_id"])
             upserts = 0
+            if clocks is not None:
+                event = F.unix_millis("start_ts")
+                clocks.advance(good, batch_id, event, now, F.max(now))
+            once = good.dropDuplicates(["sample_id"])
+            if partial_sums and branches:
+                parts.write_delta(once, f"{root}/partials", batch_id)
+            ids = {"user": dict(good.dtypes)["user_id"], "sample": dict(good.dtypes)["sample_id"]}
             for kind in branches:
-                new = recompute_touched(good, near(touched_days(good, kind)), kind).withColumn("updated_at", F.lit(batch_id).cast("long")).persist()
+                new = parts.touched(spark, f"{root}/partials", once, kind, **ids) if partial_sums else recompute_touched(good, near(touched_days(good, kind)), kind)
+                new = new.withColumn("updated_at", F.lit(batch_id).cast("long")).persist()
                 upserts += new.count()
                 upsert(spark, f"{root}/{kind}", new, KEY[kind], PARTITION[kind], f"{root}/staging-{kind}")
                 new.unpersist()
@@ -109,14 +121,14 @@ def checked_schema(spark: SparkSession, root: str, schema: DataFrame, allow_brea
         gate(drift(fields(spark, old.schema), fields(spark, schema.schema)), allow_breaking)
 
 
-def start(stream: DataFrame, root: str, checkpoint: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, interval: str | None = None, payloads: bool = False, now_ms: Column | None = None, allow_breaking: bool = False) -> StreamingQuery:
+def start(stream: DataFrame, root: str, checkpoint: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, interval: str | None = None, payloads: bool = False, now_ms: Column | None = None, allow_breaking: bool = False, partial_sums: bool = False, clocks: SourceClocks | None = None) -> StreamingQuery:
     """Starts the job on measurements, or with ``payloads`` on framed messages (value); without an ``interval`` it works through what is there and ends."""
     spark = stream.sparkSession
     if payloads:
         checked_schema(spark, root, decoded(stream, F.lit(0).cast("long"))[0], allow_breaking)
     else:
         checked_schema(spark, root, stream, allow_breaking)
-    writer = stream.writeStream.foreachBatch(batch_writer(root, branches, fixed, payloads, now_ms)).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(batch_writer(root, branches, fixed, payloads, now_ms, partial_sums, clocks)).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
