@@ -106,7 +106,7 @@ def test_each_query_has_its_rows(spark):
     x[400] = -500.0
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = collections.defaultdict(list)
-    for r in ann.search(df, F.col("vec_id") % 100 == 0, list_size=20, probes=2, probe_share=0.0).collect():
+    for r in ann.search(df, F.col("vec_id") % 100 == 0, list_size=20, probe_ratio=1.0).collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     assert set(got) == set(range(0, 600, 100)) and all([r for r, _, _ in sorted(g)] == list(range(1, 11)) for g in got.values())
     assert {v for _, v, s in got[100] if s == 0} == {0, 101, 102, 103}
