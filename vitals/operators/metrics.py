@@ -106,3 +106,47 @@ def rates(df: DataFrame, ts: str = "start_ts", width: str = "5 minutes", seconds
     return df.groupBy(F.window(ts, width).start.alias("window_start")).agg(
         (n / seconds).alias("per_second"), F.try_divide(bad * 100, n - bad).alias("error_percent"), n.alias("records_per_window"), (F.count_if("late") * 100 / n).alias("late_percent"),
     )
+
+
+#: Size of quantile sketches, and the rank error that one of that size keeps to, whatever it is merged from.
+SKETCH_K, SKETCH_ERROR = 800, 0.005
+
+
+def latency_sketches(df: DataFrame, column: str, *keys: Column | str, k: int = SKETCH_K) -> DataFrame:
+    """n, least, most and a quantile sketch of a few kilobytes for each of ``keys``: what is stored with a window. Null, NaN and negative values don't count."""
+    value = F.col(column).cast("double")
+    rows = df.where((value >= 0) & ~F.isnan(value))
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"), F.kll_sketch_agg_double(value, k).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, *keys: Column | str) -> DataFrame:
+    """The same for coarser keys, from the stored sketches alone; without keys one row."""
+    return sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """``sketches`` with a column for each of ``shares``, in place of the sketch."""
+    return sketches.withColumns({name: F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))) for name, q in shares.items()}).drop("sketch")
+
+
+def user_sketches(df: DataFrame, user: str, *keys: Column | str) -> DataFrame:
+    """A sketch of the distinct users of each of ``keys``: exact up to some thousands, then within a few percent."""
+    return df.groupBy(*keys).agg(F.theta_sketch_agg(F.col(user)).alias("users"))
+
+
+def united_users(sketches: DataFrame, *keys: Column | str) -> DataFrame:
+    """The users of coarser keys, counted once, from the stored sketches alone."""
+    return sketches.groupBy(*keys).agg(F.theta_union_agg("users").alias("users"))
+
+
+def user_count(sketch: str = "users") -> Column:
+    return F.theta_sketch_estimate(sketch)
+
+
+def kept_users(sketches: DataFrame, at: str, after: Column, *keys: str) -> DataFrame:
+    """For each of ``keys`` and ``at``: users, those of ``after`` (the next ``at``), and how many are in both."""
+    later = sketches.select(*keys, F.col(at).alias("__at"), F.col("users").alias("__users"))
+    same = [F.col(f"s.{k}") == F.col(f"l.{k}") for k in keys]
+    rows = sketches.withColumn("__next", after).alias("s").join(later.alias("l"), [*same, F.col("__next") == F.col("__at")])
+    both = F.theta_sketch_estimate(F.theta_intersection(F.col("s.users"), F.col("__users")))
+    return rows.select(*[f"s.{k}" for k in keys], at, user_count("s.users").alias("users"), F.theta_sketch_estimate("__users").alias("next_users"), both.alias("kept"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -197,3 +199,69 @@ def gate(report: DataFrame, allow_breaking: bool = False) -> None:
     """Stops on breaking changes unless they are allowed."""
     if not allow_breaking and not report.where("breaking").isEmpty():
         raise ValueError("breaking schema changes")
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "user_id", buckets: int = 16, sort: list[str] | None = None) -> None:
+    """Replaces ``table`` by one that is cut into ``buckets`` by ``key`` and sorted: joins and groups by the key need no exchange, and a reader of one key opens one bucket."""
+    out = df.repartition(buckets, key)  # one file a bucket
+    out.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key, *(sort or [])).saveAsTable(table)
+
+
+class ChangedMeanwhile(RuntimeError):
+    """Another writer has exchanged a partition since it was read."""
+
+
+def _spec(names: list[str], values: tuple) -> str:
+    return ", ".join(f"{n} = '{v}'" for n, v in zip(names, values, strict=True))
+
+
+def _locations(spark: SparkSession, table: str, names: list[str], values: list[tuple]) -> dict[tuple, str | None]:
+    """Where each partition lies by the catalog; None for those it doesn't have."""
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    out: dict[tuple, str | None] = {}
+    for v in values:
+        there = "/".join(f"{n}={x}" for n, x in zip(names, v, strict=True)) in known
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({_spec(names, v)})").collect() if there else []
+        out[v] = next((r[1] for r in rows if r[0] == "Location"), None)
+    return out
+
+
+class Swap:
+    """An upsert that readers can't see half of: merged partitions lie in new folders, and the catalog is told of them last.
+
+    ``prepare`` writes the merged partitions that ``new`` touches beside the old ones; until ``exchange`` no reader meets
+    them, so a failure in between leaves the old rows. ``exchange`` first looks whether each partition still lies where it
+    was read, and raises ``ChangedMeanwhile`` if not. Each partition changes whole; a reader that started before keeps the
+    old folders, which ``forget`` deletes. The driver handles a row for each touched partition.
+    """
+
+    def __init__(self, spark: SparkSession, table: str, root: str, keys: list[str], partitions: list[str], version: str = "updated_at") -> None:
+        self.spark, self.table, self.root, self.keys, self.partitions, self.version = spark, table, root.rstrip("/"), keys, partitions, version
+        self.before: dict[tuple, str | None] = {}
+        self.made = ""
+
+    def prepare(self, new: DataFrame) -> None:
+        touched = new.select(*self.partitions).distinct()
+        values = [tuple(str(x) for x in r) for r in touched.collect()]
+        self.before = _locations(self.spark, self.table, self.partitions, values)
+        self.spark.catalog.refreshTable(self.table)
+        old = self.spark.table(self.table).select(*new.columns).join(touched, self.partitions, "left_semi")
+        self.made = f"{self.root}/{uuid.uuid4().hex}"
+        write_partitioned(newest(old.unionByName(new), self.keys, self.version), self.made, self.partitions, "overwrite")
+
+    def exchange(self) -> None:
+        if _locations(self.spark, self.table, self.partitions, list(self.before)) != self.before:
+            raise ChangedMeanwhile(self.table)
+        for values, place in self.before.items():
+            folder = f"{self.made}/" + "/".join(f"{n}={v}" for n, v in zip(self.partitions, values, strict=True))
+            if place is None:
+                self.spark.sql(f"ALTER TABLE {self.table} ADD PARTITION ({_spec(self.partitions, values)}) LOCATION '{folder}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {self.table} PARTITION ({_spec(self.partitions, values)}) SET LOCATION '{folder}'")
+        self.spark.catalog.refreshTable(self.table)
+
+    def forget(self) -> None:
+        """Deletes the folders that the exchange replaced."""
+        for place in filter(None, self.before.values()):
+            hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+            hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
