@@ -143,6 +143,29 @@ def brute_components(texts, words=4, percent=85):
     return {i: (len(s), of[i]) for i, s in enumerate(sets)}
 
 
+@pytest.mark.parametrize("most_bits", [1 << 27, 1])
+def test_hot_cells_leaders_and_centres_are_dealt(spark, monkeypatch, most_bits):
+    """Near copies that share nearly all cells, under one leader, in deals of eight; with the filter and without."""
+    for module in (ngram_join, common):
+        monkeypatch.setattr(module, "HOT", 1e-9)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(common, "HUB", 8)
+    monkeypatch.setattr(ngram_join, "MOST_BITS", most_bits)
+    rng, texts = random.Random(12), [None, "", "of"]
+    base = [f"w{rng.randint(0, 400)}" for _ in range(160)]
+    for _ in range(70):
+        words = list(base)
+        for at in rng.sample(range(160), rng.choice([0, 1, 2, 3, 6])):
+            words[at] = f"x{rng.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    texts += [" ".join(f"w{rng.randint(0, 400)}" for _ in range(40)) for _ in range(20)]
+    hot = []
+    of = ngram_join._common
+    monkeypatch.setattr(ngram_join, "_common", lambda *x: hot.append(of(*x)) or hot[-1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.linked(docs(spark, texts)).collect()}
+    assert got == brute_components(texts) and len(hot[0][1]) > 50 and min(hot[0][1].values()) > 1
+
+
 def test_links_come_through_the_trees(spark, monkeypatch):
     """Chains of edits: a text's leader is no neighbour of most, so the trees of the cells have to find the links."""
     rng = random.Random(11)

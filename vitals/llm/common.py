@@ -76,6 +76,8 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+#: Edges of a node that are joined in one task.
+HUB = 100_000
 #: A key is hot with more than this share of all rows, so no more than 1 / HOT keys are.
 HOT = 1e-4
 
@@ -91,6 +93,31 @@ def with_hot_keys(rows: DataFrame, table: DataFrame, keys: list[str], n: str, to
     return rows.join(few, keys).unionByName(rows.join(few, keys, "left_anti").join(rest, keys))
 
 
+def hot_deals(pairs: DataFrame, key: str, total: int, most: int) -> DataFrame:
+    """(key, __deals), to be broadcast: into how many tasks the pairs of each ``key`` with many of ``total`` are dealt.
+
+    Many is more than ``most`` and HOT of all, so there are at most 1 / HOT rows.
+    """
+    many = max(most, HOT * total)
+    hot = pairs.groupBy(key).agg(F.count("*").alias("__m")).where(F.col("__m") > many)
+    return F.broadcast(hot.select(key, F.ceil(F.col("__m") / many).cast("int").alias("__deals")))
+
+
+def dealt(pairs: DataFrame, hot: DataFrame, key: str, other: str) -> DataFrame:
+    """``pairs`` with ``__deal``: which of the tasks of ``hot_deals`` a pair goes to, by ``other``; 0 for keys that aren't hot."""
+    return pairs.join(hot, key, "left").withColumn("__deal", F.coalesce(F.pmod(F.xxhash64(other), F.col("__deals")).cast("int"), F.lit(0))).drop("__deals")
+
+
+def met(pairs: DataFrame, side: DataFrame, key: str, other: str, total: int, most: int, counted: DataFrame | None = None) -> DataFrame:
+    """``pairs`` joined with ``side``, which has a row for each ``key``; a key with many of the ``total`` pairs is dealt to several tasks by ``other``.
+
+    ``counted``: what pairs are counted by, where that is cheaper; it should be written.
+    """
+    hot = hot_deals(pairs if counted is None else counted, key, total, most)
+    right = side.join(hot, key, "left").withColumn("__deal", F.explode(F.sequence(F.lit(0), F.coalesce("__deals", F.lit(1)) - 1))).drop("__deals")
+    return dealt(pairs, hot, key, other).join(right, [key, "__deal"]).drop("__deal")
+
+
 def integer_names(df: DataFrame, columns: list[str], tag: str) -> DataFrame:
     """Each distinct tuple of the integer ``columns`` with ``name``, a dense integer from 0, and ``n_rows``, its number of rows.
 
@@ -110,16 +137,18 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
     """(node, component): the smallest node that is reachable over ``edges`` (a, b: long), for each node with an edge.
 
     Large-star and small-star steps alternate until the edges no longer change; each step is a grouped minimum and a join,
-    and its edges are written to the shared folder. No neighbour list is ever gathered.
+    and its edges are written to the shared folder. No neighbour list is ever gathered, and the edges of a node with very
+    many are dealt to several tasks (``met``).
     """
+    least_of = lambda edges: edges.groupBy("a").agg(F.min("b").alias("m"))
+    joined = lambda edges, n: met(edges, least_of(edges), "a", "b", n, HUB)
     tree, before = written(edges.where("a != b").select("a", "b").distinct(), tag), None
     while True:
         both = tree.unionByName(tree.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
+        edges = 2 * tree.count()
+        large = joined(both, edges).withColumn("m", F.least("m", "a")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        down = written(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), tag)
+        small = joined(down, edges).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
         tree = written(small.where("a != b").distinct(), tag)
         now = tree.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:

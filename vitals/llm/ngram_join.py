@@ -8,8 +8,9 @@ One tree over a corpus can't prune: random texts of n words differ by about sqrt
 0.16 n, so every leaf would meet a constant share of the others. So trees are built by cell. Each set has a short list of
 cells, its first n-grams in an order that puts the corpus' commonest last. Two sets that reach the threshold share a share
 of their cells whatever that order is (``needed``), so sets that share fewer with all others together go, and nothing is
-lost. A set is first compared with the most central member of its cells, that whose own cells are most often shared (the
-text that others were copied from); cells whose members that has brought together need no tree.
+lost. Each set goes first to a tree under the most central member of its cells, that whose own cells are most often shared
+(the text that others were copied from), and that member searches the tree; cells whose members that has brought together
+need no tree of their own. So every link is a pair that a tree's search has let pass.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewords import IS_SPACE, LOWER, mixed, runs, slices, span_hashes, tidy
-from .common import components, free_name, shuffle_partitions, written
+from .common import HOT, components, dealt, free_name, hot_deals, met, shuffle_partitions, written
 
 WORDS = 4
 PERCENT = 85
@@ -37,7 +38,7 @@ BLOCK = 8192
 FANOUT = 16
 #: Rows and nodes that a search of the trees compares at once.
 PIECE = 20_000
-#: Bits of the filter of candidates for each key, and of the largest filter; beyond that there is none.
+#: Bits of the filter of candidates for each key, and of the largest filter; beyond that texts are joined with the candidates' ids.
 KEY_BITS, MOST_BITS = 16, 1 << 27
 #: Pairs that a task of the trees holds before it sends them on.
 HELD = 2_000_000
@@ -81,8 +82,11 @@ def needed(n, percent: int):
     return -(-MARGIN * -(-percent * n // 100) // 100)
 
 
-def _common(docs: DataFrame, words: int, seed: int, most: int) -> np.ndarray:
-    """The n-grams that occur most often, from counts over all texts, at most ``most``. A task sends on what it meets often."""
+def _common(docs: DataFrame, words: int, seed: int, most: int) -> tuple[np.ndarray, dict[int, int]]:
+    """The n-grams that occur most often, from counts over all texts, at most ``most``, and of these the hot ones with the tasks that each is dealt to. A task sends on what it meets often.
+
+    An n-gram is hot with more than BLOCK and HOT of all rows; at most 1 / HOT are named.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
@@ -101,8 +105,10 @@ def _common(docs: DataFrame, words: int, seed: int, most: int) -> np.ndarray:
             yield counted(parts)
 
     rows = docs.select("text").mapInArrow(tidy(task), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 32")
-    rows = rows.orderBy(F.desc("n"), "gram").limit(most).select("gram").collect()
-    return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
+    rows = rows.orderBy(F.desc("n"), "gram").limit(most).collect()
+    many = max(BLOCK, HOT * docs.count()) if rows and rows[0].n > BLOCK else float("inf")
+    hot = {r.gram: int(r.n // many) + 1 for r in rows[: int(1 / HOT)] if r.n > many}
+    return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64)), hot
 
 
 def _point(grams: np.ndarray) -> bytes:
@@ -168,32 +174,57 @@ def _cells(texts: DataFrame, words: int, percent: int, seed: int, common: np.nda
 
 
 def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows with each cell's and in it each key's rows together: (cell, key, leader) of the cells with several keys; the leader is the first key."""
-    cell = leader = last = None
+    """From rows with each cell's and in it each key's rows together: (cell, key, leader) of the cells with several keys; the leader is the first key.
+
+    Of a hot cell, whose keys several tasks have (``deal`` from 0), each key is told, and the leader is the deal's.
+    """
+    cell = leader = last = deal = None
     told = False
     for batch in batches:
-        c, k = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        c, k, d = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
         if not len(c):
             continue
         new = np.ones(len(c), bool)
-        new[1:] = c[1:] != c[:-1]
-        new[0] = cell is None or c[0] != cell
+        new[1:] = (c[1:] != c[:-1]) | (d[1:] != d[:-1])
+        new[0] = cell is None or c[0] != cell or d[0] != deal
         again = np.zeros(len(c), bool)
         again[1:] = (k[1:] == k[:-1]) & ~new[1:]
         again[0] = not new[0] and k[0] == last
-        end = (c[-1], k[-1])
-        c, k, new = c[~again], k[~again], new[~again]
+        end = (c[-1], k[-1], d[-1])
+        c, k, d, new = c[~again], k[~again], d[~again], new[~again]
         group = np.cumsum(new)
         firsts = np.concatenate([[leader if leader is not None else 0], k[new]]).astype(np.int64)
         cells = np.concatenate([[cell if cell is not None else 0], c[new]]).astype(np.int64)
         grown = np.zeros(len(firsts), bool)
         grown[group[~new]] = True
+        grown[1:] |= d[new] >= 0
         heads = grown.copy()
         heads[0] &= not told
         out = [np.concatenate([cells[heads], c[~new]]), np.concatenate([firsts[heads], k[~new]]), np.concatenate([firsts[heads], firsts[group[~new]]])]
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["cell", "key", "leader"])
         told = bool(grown[-1]) or (len(firsts) == 1 and told)
-        cell, last, leader = end[0], end[1], firsts[-1]
+        cell, last, deal, leader = *end, firsts[-1]
+
+
+def _by_cell(pairs: DataFrame, hot: dict[int, int], *order: str) -> DataFrame:
+    """(cell, key, leader) of ``pairs`` (cell, key, ``order``) of the cells that several keys share, each once; keys of a hot cell are dealt to several tasks."""
+    if hot:
+        deals = F.broadcast(pairs.sparkSession.createDataFrame(list(hot.items()), "cell long, __deals int"))
+        pairs = pairs.join(deals, "cell", "left").withColumn("deal", F.coalesce(F.pmod(F.xxhash64("key"), F.col("__deals")).cast("int"), F.lit(-1)))
+    else:
+        pairs = pairs.withColumn("deal", F.lit(-1))
+    rows = pairs.select("cell", "key", "deal", *order).repartition(shuffle_partitions(pairs.sparkSession), "cell", "deal").sortWithinPartitions("cell", "deal", *order, "key")
+    return rows.mapInArrow(tidy(_shared_cells), "cell long, key long, leader long")
+
+
+def _one_leader(cells: DataFrame, apart: DataFrame, hot: dict[int, int]) -> DataFrame:
+    """``cells`` (written) in which the deals of each hot cell have one leader: the first of theirs by ``apart`` (key, apart)."""
+    if not hot:
+        return cells
+    named = F.broadcast(cells.sparkSession.createDataFrame([(c,) for c in hot], "cell long"))
+    leaders = cells.join(named, "cell").select("cell", F.col("leader").alias("key")).distinct().join(apart, "key")
+    first = F.broadcast(leaders.groupBy("cell").agg(F.min_by("key", F.struct("apart", "key")).alias("__first")))  # at most 1 / HOT cells
+    return cells.join(first, "cell", "left").select("cell", "key", F.coalesce("__first", "leader").alias("leader"))
 
 
 def _slots(key: np.ndarray, doc_id: np.ndarray, bits: int) -> np.ndarray:
@@ -225,15 +256,18 @@ def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
     return out.ravel()
 
 
-def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, most: int = MOST_BITS) -> DataFrame:
+def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, most: int | None = None) -> DataFrame:
     """(key, n, point, grams) of each set of ``keys``, from the text of its smallest doc_id, without moving texts.
 
     Others that pass the filter may be among them, and repeated rows are there as often; neither changes a link. The
-    filter grows with the number of keys; where it would be larger than ``most`` bits, all sets pass and the joins sort
-    them out.
+    filter grows with the number of keys; where it would be larger than ``most`` bits, texts are joined with the doc_ids
+    of the keys instead, so that only theirs pass.
     """
     bits = max(16, (KEY_BITS * keys.count() - 1).bit_length())
-    passing = _filter_bits(keys, bits) if 1 << bits <= most else None
+    passing = _filter_bits(keys, bits) if 1 << bits <= (MOST_BITS if most is None else most) else None
+    if passing is None:
+        named = keys.select(F.coalesce("least_id", F.lit(-1)).alias("__id")).distinct()
+        docs = docs.join(named, F.coalesce("doc_id", F.lit(-1)) == F.col("__id"), "left_semi")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,14 +286,7 @@ def _members(docs: DataFrame, keys: DataFrame, words: int, seed: int, most: int
 
 
 def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose sets link: first by the points' bound, then by the sets themselves."""
-
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-                good = _bound(*_points(batch.column(4)), *_points(batch.column(5))) >= least_overlap(n, m, percent)
-                yield batch.filter(pa.array(good)).select([0, 1])
+    """The ``pairs`` (a, b; written) whose sets link. A set of many pairs goes to several tasks, and what is joined last isn't moved again: ``a`` is the one with more pairs."""
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,11 +298,45 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 good.append(int((both[1:] == both[:-1]).sum()) >= least_overlap(len(x), len(y), percent))
             yield batch.filter(pa.array(good, pa.bool_())).select([0, 1])
 
-    side = lambda x, *columns: members.select(F.col("key").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
-    found = pairs.join(side("a", "n", "point"), "a").join(side("b", "n", "point"), "b").select("a", "b", "n_a", "n_b", "point_a", "point_b")
-    found = written(found.mapInArrow(tidy(bounded), "a long, b long").distinct(), "bounded")
-    found = found.join(side("a", "grams"), "a").join(side("b", "grams"), "b").select("a", "b", "grams_a", "grams_b")
-    return written(found.mapInArrow(tidy(exact), "a long, b long"), "links")
+    side = lambda x: members.select(F.col("key").alias(x), F.col("grams").alias(f"grams_{x}"))
+    total = pairs.count()
+    found = met(met(pairs, side("b"), "b", "a", total, BLOCK), side("a"), "a", "b", total, BLOCK, pairs).select("a", "b", "grams_a", "grams_b")
+    return written(found.mapInArrow(tidy(exact), "a long, b long").distinct(), "links")
+
+
+def _led(best: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``best`` (a leads b; written) that trees let pass: each leader's followers are trees that its own point searches, a block of them at a time."""
+    deals = dealt(best, hot_deals(best, "a", best.count(), BLOCK), "a", "b").withColumnRenamed("__deal", "x")
+    points = members.groupBy("key").agg(F.min("n").alias("n"), F.min("point").alias("point"))
+    follow = deals.join(points, F.col("b") == F.col("key")).select("a", "x", F.lit(1).alias("part"), "key", "n", "point")
+    lead = deals.select("a", "x").distinct().join(points, F.col("a") == F.col("key")).select("a", "x", F.lit(0).alias("part"), "key", "n", "point")
+    rows = lead.unionByName(follow).repartition(shuffle_partitions(best.sparkSession), "a", "x").sortWithinPartitions("a", "x", "part", "key")
+
+    def found(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, _, part, key, n, points, rests = cols
+        run = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        own, rest = np.flatnonzero(part == 0), np.flatnonzero(part == 1)
+        tree = _Tree(n[rest], points[rest], rests[rest], run[rest])
+        for q, at in tree.find(run[own], n[own], points[own], rests[own], percent):
+            yield pa.RecordBatch.from_arrays([pa.array(a[own[q]]), pa.array(key[rest[at]])], names=["a", "b"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            cols += _points(batch.column(5))
+            if kept is not None:
+                cols = [np.concatenate([k, c]) for k, c in zip(kept, cols, strict=True)]
+            cuts = np.concatenate([[0], np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])) + 1])
+            if cuts[-1]:
+                yield from found([c[: cuts[-1]] for c in cols], cuts)
+            kept = [c[cuts[-1] :] for c in cols]  # the last run may go on
+        if kept is not None:
+            yield from found(kept, np.array([0, len(kept[0])]))
+
+    return rows.mapInArrow(tidy(task), "a long, b long")
 
 
 class _Tree:
@@ -329,6 +390,38 @@ class _Tree:
                 nodes, _ = self._children(level, nodes)
         return self.order[nodes]
 
+    def find(self, runs: np.ndarray, sizes: np.ndarray, points: np.ndarray, rests: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, member): members whose size and bound allow a link with the query of their run. ``runs``: each query's run, ascending; each run has one."""
+        todo, begun = [], np.zeros(len(runs), bool)
+        for level, (*_, run, _, _) in enumerate(self.levels):  # each query starts at the root of its run
+            alone = np.ones(len(run), bool)
+            alone[1:] &= run[1:] != run[:-1]
+            alone[:-1] &= run[1:] != run[:-1]
+            nodes = np.flatnonzero(alone)
+            query = np.searchsorted(runs, run[nodes])
+            nodes, query = nodes[~begun[query]], query[~begun[query]]
+            begun[query] = True
+            if len(nodes):
+                todo.append((level, query, nodes))
+        while todo:
+            level, query, nodes = todo.pop()
+            if len(query) > PIECE:
+                todo.append((level, query[PIECE:], nodes[PIECE:]))
+                query, nodes = query[:PIECE], nodes[:PIECE]
+            low, high, box, more = self.levels[level][:4]
+            n = sizes[query]
+            fits = (100 * high[nodes] >= percent * n) & (100 * n >= percent * low[nodes])
+            query, nodes = query[fits], nodes[fits]
+            fits = _bound(box[nodes], more[nodes], points[query], rests[query]) >= least_overlap(low[nodes], sizes[query], percent)
+            query, nodes = query[fits], nodes[fits]
+            if not len(query):
+                continue
+            if level == 0:
+                yield query, self.order[nodes]
+            else:
+                nodes, n = self._children(level, nodes)
+                todo.append((level - 1, np.repeat(query, n), nodes))
+
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of members of one run and different components whose sizes and bound allow a link, each pair once."""
         sizes, _, points, rests, components = self.levels[0][:5]
@@ -442,26 +535,27 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, common:
     about 2^-64. Sets are told apart by 64 bits of a digest; 128 further bits are compared, and all is done again with
     another hash if two sets should share a key.
     """
-    spark: SparkSession = docs.sparkSession
     docs = docs.select("doc_id", "text")
     for seed in range(8):
         rows = written(_sets(docs, words, seed), "sets")
         keys = rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.max("n").alias("n"), (F.min("digest") != F.max("digest")).alias("clash"))
         if keys.where("clash").isEmpty():
             break
-    by_cell = lambda pairs, *order: pairs.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", *order, "key").mapInArrow(tidy(_shared_cells), "cell long, key long, leader long")
-    cells = written(by_cell(_cells(docs, words, percent, seed, _common(docs, words, seed, common))), "shared-cells")
+    often, hot = _common(docs, words, seed, common)
+    cells = written(_by_cell(_cells(docs, words, percent, seed, often), hot), "shared-cells")
     few = F.ceil(MARGIN * F.ceil(percent * F.col("n") / 100) / 100)
     many = cells.groupBy("key").agg(F.count("*").alias("shared")).join(keys, "key").where(F.col("shared") >= few)
     length = F.col("n") - F.ceil(percent * F.col("n") / 100) + F.greatest(F.lit(1), F.ceil(MARGIN * F.col("n") / 100))
     many = written(many.select("key", "least_id", (1000 - F.floor(1000 * F.col("shared") / length)).alias("apart")), "candidates")
-    cells = written(by_cell(cells.join(many, "key").select("cell", "key", "apart"), "apart"), "cells")
+    cells = written(_by_cell(cells.join(many, "key").select("cell", "key", "apart"), hot, "apart"), "cells")
+    cells = _one_leader(cells, many.select("key", "apart"), hot)
     members = written(_members(docs, many, words, seed), "members")
 
     # each key with the leader it shares most cells with
     votes = cells.where("key != leader").groupBy("key", "leader").agg(F.count("*").alias("votes"))
     best = votes.groupBy("key").agg(F.max_by("leader", F.struct("votes", "leader")).alias("a")).select("a", F.col("key").alias("b"))
-    links = _verified(best, members, percent)
+    best = written(best.where("a is not null"), "leaders")
+    links = _verified(written(_led(best, members, percent), "led"), members, percent)
     labels = written(components(links, "stars"), "labels")
 
     # what that leaves apart
