@@ -267,3 +267,45 @@ def test_rows_that_take_no_part(spark):
     assert [(r.anchor_id, r.positive_id, r.rank, r.negative_id, r.positive_score, r.negative_score) for r in got] == [(0, 1, 1, 2, 256 * 230, 256 * 204)]
     for none in (df.limit(0), df.where("vec_id > 0"), df.where("label = 1")):
         assert hard_negatives.mine(hard_negatives.usable(none), F.col("vec_id") % 100 == 0).count() == 0
+
+
+# Main text of pages
+
+
+def test_vague_class_words_and_notices():
+    from vitals.llm import html_extract
+
+    prose = "Long prose about the matter at hand, which goes on for a while and says several things in order. It has sentences, and commas; it ends with a full stop as prose does. There is more to say, and it is said here at some length."
+    lines = lambda page: html_extract.main_text(page).split("\n")
+    assert lines(f'<article><div class="header"><h1>Title</h1><p class="subtitle">A subtitle here</p></div><p>{prose}</p></article>') == ["Title", "A subtitle here", prose]
+    assert lines(f'<article><div class="links"><p>{prose}</p><p>{prose}</p></div></article>') == [prose] * 2
+    for inside in (f'<div class="share"><p>{prose}</p></div>', f'<div class="widget"><p>{prose}</p></div>', f'<blockquote class="social"><p>{prose}</p></blockquote>'):
+        assert lines(f"<main><p>{prose}</p>{inside}</main>") == [prose] * 2
+    buttons = '<div class="share"><a href=x>Share</a> <a href=y>Tweet this</a></div><div class="links"><ul><li><a href=x>Another story</a><li><a>One more</a></ul></div>'
+    assert lines(f'<main><p>{prose}</p>{buttons}<p>{prose}</p><div class="sidebar"><p>{prose}</p></div></main>') == [prose] * 2
+    for notice in ("This site uses cookies to give you the best experience on it.", "Sign up to get our weekly letter with all the news."):
+        assert lines(f"<body><div><p>{prose}</p><p>{notice}</p><p>{prose}</p></div></body>") == [prose] * 2
+
+
+def test_whole_small_pages_against_every_labelling():
+    """The text of small pages is that of the best labelling of their graph, found by trying all."""
+    import itertools
+
+    from vitals.llm import html_extract
+
+    rng = random.Random(8)
+    part = lambda: rng.choice(["Home", "A short line", "Prose that says a thing or two, at some length, and ends.", "All rights reserved", "Read more"])
+    tried = 0
+    while tried < 60:
+        zones = [rng.choice(["", ' class="content"', ' class="links"', ' class="sidebar"', ' class="share"']) for _ in range(2)]
+        page = f"<body><p>{part()}</p>" + "".join(f"<div{z}><p>{part()}</p><p><a href=x>{part()}</a></p></div>" for z in zones) + rng.choice(["", f"<article><h1>{part()}</h1><p>{part()}</p></article>"]) + "</body>"
+        blocks = html_extract.blocks_of(page)
+        costs, edges = html_extract.graph(blocks)
+        if len(costs) > 14:
+            continue
+        tried += 1
+        worth = lambda label: sum(c for c, x in zip(costs, label, strict=True) if x) - sum(w for a, b, w in edges if label[a] != label[b])  # noqa: E731, B023
+        best = max(worth(label) for label in itertools.product([False, True], repeat=len(costs)))
+        label = html_extract.minimum_cut(*html_extract.graph(html_extract.blocks_of(page)))
+        assert worth(label) == best
+        assert html_extract.main_text(page) == "\n".join(b.text for b, keep in zip(blocks, label, strict=False) if keep)

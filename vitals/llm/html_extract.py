@@ -30,6 +30,8 @@ INSIDE_TAGS = frozenset("article main".split())
 ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising promo promoted sponsor sponsored".split())
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
 OUTSIDE_WORDS = ADVERT_WORDS | COMMENT_WORDS | frozenset("banner breadcrumb breadcrumbs buttons consent cookie cookies footer form gdpr header links masthead menu modal nav navbar navigation newsletter notice notices pagination popup promotion related share sharing sidebar social subscribe toolbar widget".split())
+#: Of these, words that parts of an article have too: inside of one they tell little, and the text decides.
+VAGUE_WORDS = frozenset("banner header links masthead share sharing social widget".split())
 STORY_WORDS = frozenset("article entry post story".split())
 INSIDE_WORDS = STORY_WORDS | frozenset("body content main text".split())
 #: Words that make a class one of state: the element has such a part, and is none.
@@ -44,6 +46,10 @@ REST = 30
 #: Edges: neighbours of one kind, parent and zone, others of one zone, others; a zone's blocks by its evidence, the last for the page alone; zones for each block of the inner.
 SIBLING, NEIGHBOUR, BORDER, ZONE_EDGES, NESTED = 10, 6, 2, ((25, 45), (10, 14), (0, 2)), 20
 
+#: What sites say of themselves to their readers; a sign of boilerplate in a short block.
+NOTICE = re.compile(r"\b(?:(?:this|our) (?:web)?site uses cookies|we (?:and our partners )?use cookies|by continuing to (?:use|browse) (?:this|our)|(?:sign up|subscribe) (?:now )?(?:to|for) (?:get |receive )?our\b|accept all cookies)", re.I)
+NOTICE_LENGTH = 400
+
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTES = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+")
 _ATTRIBUTE = re.compile(r"([a-zA-Z][a-zA-Z-]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
@@ -108,6 +114,8 @@ def _evidence(tag: str, attributes: str, around: _Zone) -> tuple[float, bool]:
             name, value = name.lower(), next((v for v in values if v), "")
             if name in ("class", "id"):
                 for told, by_readers in map(_class_evidence, value.split()):
+                    if around.inside and told == -CLASS and VAGUE_WORDS.issuperset(w.lower() for w in _NAME_WORD.findall(value)):
+                        told = -GENERIC * (tag not in HEADINGS and "header" not in value.lower())
                     for_it += max(0, told)
                     against += max(0, -told) * (1 if told <= -ADVERT else leaf)
                     comments |= by_readers and leaf == 1
@@ -247,6 +255,7 @@ def _text_cost(block: _Block) -> int:
     """The classifier of a block by its text: above 0 for content, below for boilerplate."""
     text, n, tag = block.text, len(block.text), block.element.tag
     score = min(18, n // 8) + (6 if text[-1] in ".!?…:;\"'”»)。！？" else -4) + (18 if tag == "h1" else 8 if tag in HEADINGS else 4 if tag in ("p", "blockquote", "pre") else 0)
+    score -= 40 if n < NOTICE_LENGTH and NOTICE.search(text) else 0
     score -= (4 if n < 25 else 0) + 40 * block.links // n + (16 if "©" in text or "all rights reserved" in text.lower() else 0)
     return max(-28, min(24, score))
 
