@@ -27,15 +27,27 @@ def latency(df: DataFrame, column: str, *keys: str) -> DataFrame:
     return rows.select(*keys, "n", "least", "mean", "most", F.get("p", F.lit(0)).alias("p50"), F.get("p", F.lit(1)).alias("p95"), F.get("p", F.lit(2)).alias("p99"))
 
 
-def exact_percentiles(df: DataFrame, column: str, keys: list[str], shares: dict[str, float], parts: int = 64) -> DataFrame:
+#: Values of a range of ``exact_percentiles``, about; up to so many in all are sorted by key at once.
+RANGE = 500_000
+
+
+def exact_percentiles(df: DataFrame, column: str, keys: list[str], shares: dict[str, float], parts: int | None = None) -> DataFrame:
     """Values at index min(floor(n q), n - 1) of each key's sorted values.
 
     Equal values are counted first. A key's distinct values are cut into about ``parts`` ranges at approximate quantiles,
     which are merged from sketches; sums by range tell which ranges hold the wanted ranks, and only those are sorted. So
-    a key with many values is the work of many tasks.
+    a key with many values is the work of many tasks. By default the number of ranges follows the number of values, which
+    are counted; where all fit in one range, each key's are sorted without cutting.
     """
     names = [*keys, column]
     values = df.where(F.col(column).isNotNull()).groupBy(*names).agg(F.count("*").alias("__n"))
+    if parts is None:
+        parts = min(4096, -(-df.where(F.col(column).isNotNull()).count() // RANGE))
+    if parts <= 1:
+        w = Window.partitionBy(*keys)
+        rows = values.withColumns({"__upto": F.sum("__n").over(w.orderBy(column)), "__all": F.sum("__n").over(w)})
+        wanted = lambda q: F.least(F.floor(F.col("__all") * q), F.col("__all") - 1) + 1
+        return rows.groupBy(*keys).agg(*[F.min(F.when(F.col("__upto") >= wanted(q), F.col(column))).alias(name) for name, q in shares.items()])
     cuts = values.groupBy(*keys).agg(F.percentile_approx(column, [i / parts for i in range(1, parts)], 20 * parts).alias("__cuts"))
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
     ranged = values.alias("v").join(cuts.alias("c"), same("v", "c")).select(*[f"v.{c}" for c in names], "__n", F.size(F.filter("__cuts", lambda x: x < F.col(column))).alias("__range"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -418,6 +418,34 @@ def r2(spark, sf):
     return rounded(rows).select("user_id", "data_type", "week_start_date", "avg_value")
 
 
+@query("r2_default_weeks", f"SELECT user_id, data_type, week_start_date, round(avg_value, 7) AS avg_value FROM weekly WHERE user_id = {USER} AND week_start_date BETWEEN date_trunc('week', DATE '2024-04-04' - 84) AND DATE '2024-04-04'", "weekly")
+def r2_default(spark, sf):
+    """Without a range the last twelve weeks count, here from the week of 11 January."""
+    rows = None
+    for kind in (*v.TYPES.values(), "bodyTemperature"):
+        one = query_api.weekly_aggregates(v.stored(spark, sf, "weekly"), USER, kind, dt.date(2024, 4, 4))
+        rows = one if rows is None else rows.unionByName(one)
+    return rounded(rows).select("user_id", "data_type", "week_start_date", "avg_value")
+
+
+@query("r3_default_months", f"SELECT user_id, data_type, year, month, round(avg_value, 7) AS avg_value FROM monthly WHERE user_id = {BUYER} AND year * 12 + month BETWEEN 1998 * 12 + 2 AND 1998 * 12 + 8", "monthly")
+def r3_default(spark, sf):
+    """Without a range the last six months and the present one count."""
+    rows = None
+    for kind in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"):
+        one = query_api.monthly_aggregates(v.stored(spark, sf, "monthly"), BUYER, kind, dt.date(1998, 8, 20))
+        rows = one if rows is None else rows.unionByName(one)
+    return rounded(rows).select("user_id", "data_type", "year", "month", "avg_value")
+
+
+@query("t2_order", """
+SELECT user_id, aggregation_date, row_number() OVER (ORDER BY user_id, aggregation_date) AS place FROM daily WHERE data_type = 'steps' AND aggregation_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-17'""", "daily")
+def t2(spark, sf):
+    """The place of each row in the order in which the look-up gives its rows, task after task."""
+    rows = f25(spark, sf).withColumn("at", F.monotonically_increasing_id())
+    return rows.select("user_id", "aggregation_date", F.row_number().over(Window.orderBy("at")).cast("long").alias("place"))  # rows of eight days of one type
+
+
 @query("r3_monthly", f"SELECT user_id, data_type, year, month, round(avg_value, 7) AS avg_value FROM monthly WHERE user_id = {BUYER} AND data_type = '1-URGENT' AND year * 100 + month BETWEEN 199511 AND 199803", "monthly")
 def r3(spark, sf):
     rows = query_api.monthly_aggregates(v.stored(spark, sf, "monthly"), BUYER, "1-URGENT", v.AS_OF, "1995-11", "1998-03")
@@ -617,6 +645,25 @@ def s11(spark, sf):
     return good.agg(F.count("*").alias("kept")).crossJoin(bad.agg(F.count("*").alias("quarantined")))  # one row each
 
 
+#: The bucket of a user by the engine's hash of a 64-bit integer, step by step.
+_M = "4294967295::HUGEINT"
+_ROTATED = lambda x, n: f"((({x}) << {n}) & {_M}) | (({x}) >> {32 - n})"
+
+
+@query("s19_user_bucket", f"""
+, u AS (SELECT DISTINCT user_id, (user_id & 4294967295)::HUGEINT AS low, ((user_id >> 32) & 4294967295)::HUGEINT AS high FROM samples),
+a AS (SELECT *, (low * 3432918353) & {_M} AS k, (high * 3432918353) & {_M} AS l FROM u),
+b AS (SELECT *, (({_ROTATED('k', 15)}) * 461845907) & {_M} AS m, (({_ROTATED('l', 15)}) * 461845907) & {_M} AS o FROM a),
+c AS (SELECT *, xor(42::HUGEINT, m) AS x FROM b),
+d AS (SELECT *, xor((({_ROTATED('x', 13)}) * 5 + 3864292196) & {_M}, o) AS y FROM c),
+e AS (SELECT *, xor((({_ROTATED('y', 13)}) * 5 + 3864292196) & {_M}, 8::HUGEINT) AS z FROM d),
+f AS (SELECT *, (xor(z, z >> 16) * 2246822507) & {_M} AS z2 FROM e),
+g AS (SELECT *, (xor(z2, z2 >> 13) * 3266489909) & {_M} AS z3 FROM f)
+SELECT user_id, CAST(xor(z3, z3 >> 16) & 15 AS INTEGER) AS user_bucket FROM g""", "samples")
+def s19_bucket(spark, sf):
+    return tables.transforms(v.samples(spark, sf)).select("user_id", F.col("user_bucket").cast("int").alias("user_bucket")).distinct()
+
+
 @query("s19_transforms", "SELECT CAST(start_ts AS DATE) AS day, date_trunc('hour', start_ts) AS hour, count(*) AS n FROM samples GROUP BY 1, 2", "samples")
 def s19(spark, sf):
     return tables.transforms(v.samples(spark, sf)).groupBy("day", F.col("hour").cast("timestamp_ntz").alias("hour")).agg(F.count("*").alias("n"))

@@ -102,13 +102,17 @@ def s10(spark, sf):
     return spark.read.schema("value double, start_day date, data_type string").parquet(path).groupBy("data_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("s12_file_target", "SELECT data_type, count(*) AS n, CAST(ceil(count(*) / 100.0) AS BIGINT) <= 2 * count(*) AS has_files, false AS oversized FROM samples GROUP BY 1", "samples")
+@query("s12_file_target", "SELECT data_type, count(*) AS n, CAST(ceil(count(*) / 100.0) AS BIGINT) AS n_files, least(100, count(*)) AS largest FROM samples GROUP BY 1", "samples")
 def s12(spark, sf):
+    """Files of a hundred rows; how many rows fill a file of a size is read from files that are there."""
     path = v.work(spark, "target")
     rows = v.samples(spark, sf).drop("start_ts", "props")
-    tables.write_partitioned(rows, path, ["data_type"], records_per_file=tables.records_for(rows, 25_000))
-    files = spark.read.schema("sample_id long, data_type string").parquet(path).groupBy("data_type", F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"))
-    return files.groupBy("data_type").agg(F.sum("n").alias("n"), (F.count("*") > 0).alias("has_files"), (F.max("n") > 250).alias("oversized"))
+    tables.write_partitioned(rows, path, ["data_type"], records_per_file=100)
+    stored = spark.read.schema("sample_id long, data_type string").parquet(path)
+    if not 90 <= tables.records_stored(stored, 100 * tables.file_sizes(stored).first()["bytes"] // rows.count()) <= 110:
+        raise AssertionError("rows of a file don't follow the files' size")
+    files = stored.groupBy("data_type", F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"))
+    return files.groupBy("data_type").agg(F.sum("n").alias("n"), F.count("*").alias("n_files"), F.max("n").alias("largest"))
 
 
 def _database(spark: SparkSession, sf: str) -> str:
@@ -138,22 +142,27 @@ def s16(spark, sf):
     return listed.join(counts, "table_name")
 
 
-@query("s17_compact", "SELECT data_type, count(*) AS n, round(sum(value), 4) AS total, true AS well_sized FROM samples GROUP BY 1", "samples")
+@query("s17_compact", "SELECT data_type, count(*) AS n, round(sum(value), 4) AS total, count(DISTINCT sample_id % 8) AS files_before, CASE WHEN count(DISTINCT sample_id % 8) > 0 THEN 1 END AS files_after FROM samples GROUP BY 1", "samples")
 def s17(spark, sf):
-    root, target = v.work(spark, "compact"), 60_000
-    v.samples(spark, sf).drop("start_ts").repartition(8).write.partitionBy("data_type").parquet(f"{root}/t")
+    """Types lie in a file for each of eight writers before, and in one after, as all of a type is less than the target."""
+    root, target = v.work(spark, "compact"), 1 << 28
+    i = F.col("sample_id") % 8
+    for writer in range(8):
+        v.samples(spark, sf).drop("start_ts").where(i == writer).coalesce(1).write.mode("append").partitionBy("data_type").parquet(f"{root}/t")
+    stored = lambda: spark.read.schema("sample_id long, value double, data_type string").parquet(f"{root}/t")
+    before = [(r.data_type, r.n_files) for r in tables.partition_sizes(stored(), ["data_type"]).collect()]  # five types
     tables.compact(spark, f"{root}/t", ["data_type"], f"{root}/staging", target)
-    rows = spark.read.schema("sample_id long, value double, data_type string").parquet(f"{root}/t")
-    sizes = tables.partition_sizes(rows, ["data_type"]).select("data_type", (F.col("n_files") <= 2 * F.ceil(F.col("bytes") / target)).alias("well_sized"))
+    rows = stored()
+    sizes = tables.partition_sizes(rows, ["data_type"]).select("data_type", F.col("n_files").cast("int").alias("files_after")).join(spark.createDataFrame(before, "data_type string, files_before long"), "data_type")
     return rows.groupBy("data_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).join(sizes, "data_type")
 
 
-@query("s18_file_sizes", "SELECT count(*) AS n, true AS has_files, true AS has_bytes FROM samples", "samples")
+@query("s18_file_sizes", "SELECT count(*) AS n, count(DISTINCT (CAST(start_ts AS DATE), data_type)) AS n_files, sum(CASE WHEN sample_id IS NOT NULL THEN 1 END) > 0 AS has_bytes FROM samples", "samples")
 def s18(spark, sf):
     path = v.work(spark, "sizes")
     tables.write_raw(v.samples(spark, sf).drop("start_ts", "props"), path)
     rows = spark.read.schema("sample_id long, start_day date, data_type string").parquet(path)
-    size = tables.file_sizes(rows).select((F.col("n_files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    size = tables.file_sizes(rows).select("n_files", (F.col("bytes") > 100 * F.col("n_files")).alias("has_bytes"))
     return rows.agg(F.count("*").alias("n")).withColumn("k", F.lit(1)).join(size.withColumn("k", F.lit(1)), "k").drop("k")  # one row each
 
 
@@ -406,10 +415,17 @@ def st19_raw(spark, sf):
     return spark.read.schema("sample_id string, data_type string, value double, start_day date, batch long").parquet(f"{_job(spark, sf)}/raw").drop("batch")
 
 
-@query("a25_sink_statistics", "SELECT 2 AS batches, CAST(count(*) FILTER (coalesce(fault, '') <> 'sample') AS BIGINT) AS records, CAST(count(*) FILTER (fault IS NOT NULL AND fault <> 'sample') AS BIGINT) AS errors, true AS upserted FROM messages", "messages")
+@query("a25_sink_statistics", f"""
+SELECT count(DISTINCT sample_id % 2) AS batches, count(*) FILTER (coalesce(fault, '') <> 'sample') AS records, count(*) FILTER (fault IS NOT NULL AND fault <> 'sample') AS errors,
+  (SELECT count(*) FROM (SELECT DISTINCT sample_id % 2, user_id, data_type, timezone, CAST({LOCAL} AS DATE) FROM sound)) AS upserts
+FROM messages""", "sound")
 def a25(spark, sf):
-    rows = metrics.sink_statistics(spark.read.schema("records long, errors long, upserts long, batch long").parquet(f"{_job(spark, sf)}/metrics"))
-    return rows.select("batches", "records", "errors", (F.col("upserts") > 0).alias("upserted"))
+    """A job's totals over two batches; each writes the days that its sound rows touch."""
+    root, rows = v.work(spark, "statistics"), v.messages(spark, sf)
+    write = job.batch_writer(root, ("daily",), payloads=True, now_ms=F.lit(v.AS_OF_MS))
+    for half in (0, 1):
+        write(rows.where(F.col("sample_id") % 2 == half).select("value"), half)
+    return metrics.sink_statistics(spark.read.schema(job.METRICS).parquet(f"{root}/metrics"))
 
 
 # Whole rows of what other queries count

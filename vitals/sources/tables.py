@@ -139,6 +139,13 @@ def records_for(df: DataFrame, target: int, sample: int = 1000) -> int:
     return max(1, int(target / size)) if size else 0
 
 
+def records_stored(df: DataFrame, target: int) -> int:
+    """The same for a table that is stored already: by the bytes and rows of all its files."""
+    rows = df.count()
+    size = file_sizes(df).first()["bytes"]
+    return max(1, int(target * rows / size)) if rows and size else 0
+
+
 def migrate(df: DataFrame, operations: list[tuple]) -> tuple[DataFrame, list[tuple[str, str]]]:
     """``df`` after add, drop, rename, widen and optional operations, and the history of them.
 
@@ -232,7 +239,8 @@ class Swap:
     ``prepare`` writes the merged partitions that ``new`` touches beside the old ones; until ``exchange`` no reader meets
     them, so a failure in between leaves the old rows. ``exchange`` first looks whether each partition still lies where it
     was read, and raises ``ChangedMeanwhile`` if not. Each partition changes whole; a reader that started before keeps the
-    old folders, which ``forget`` deletes. The driver handles a row for each touched partition.
+    old folders, which ``forget`` deletes. The driver handles a row for each touched partition; partition values
+    must not be null.
     """
 
     def __init__(self, spark: SparkSession, table: str, root: str, keys: list[str], partitions: list[str], version: str = "updated_at") -> None:
