@@ -149,6 +149,7 @@ def test_hot_cells_leaders_and_centres_are_dealt(spark, monkeypatch, most_bits):
     for module in (ngram_join, common):
         monkeypatch.setattr(module, "HOT", 1e-9)
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "LED", 8)
     monkeypatch.setattr(common, "HUB", 8)
     monkeypatch.setattr(ngram_join, "MOST_BITS", most_bits)
     rng, texts = random.Random(12), [None, "", "of"]

@@ -36,6 +36,8 @@ MARGIN = 5
 #: Members of a cell that one task joins at once; larger cells are joined block by block.
 BLOCK = 8192
 FANOUT = 16
+#: Pairs of one leader or set that one task takes.
+LED = 512
 #: Rows and nodes that a search of the trees compares at once.
 PIECE = 20_000
 #: Bits of the filter of candidates for each key, and of the largest filter; beyond that texts are joined with the candidates' ids.
@@ -300,13 +302,13 @@ def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     side = lambda x: members.select(F.col("key").alias(x), F.col("grams").alias(f"grams_{x}"))
     total = pairs.count()
-    found = met(met(pairs, side("b"), "b", "a", total, BLOCK), side("a"), "a", "b", total, BLOCK, pairs).select("a", "b", "grams_a", "grams_b")
+    found = met(met(pairs, side("b"), "b", "a", total, LED), side("a"), "a", "b", total, LED, pairs).select("a", "b", "grams_a", "grams_b")
     return written(found.mapInArrow(tidy(exact), "a long, b long").distinct(), "links")
 
 
 def _led(best: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of ``best`` (a leads b; written) that trees let pass: each leader's followers are trees that its own point searches, a block of them at a time."""
-    deals = dealt(best, hot_deals(best, "a", best.count(), BLOCK), "a", "b").withColumnRenamed("__deal", "x")
+    deals = dealt(best, hot_deals(best, "a", best.count(), LED), "a", "b").withColumnRenamed("__deal", "x")
     points = members.groupBy("key").agg(F.min("n").alias("n"), F.min("point").alias("point"))
     follow = deals.join(points, F.col("b") == F.col("key")).select("a", "x", F.lit(1).alias("part"), "key", "n", "point")
     lead = deals.select("a", "x").distinct().join(points, F.col("a") == F.col("key")).select("a", "x", F.lit(0).alias("part"), "key", "n", "point")
