@@ -309,3 +309,111 @@ def test_whole_small_pages_against_every_labelling():
         label = html_extract.minimum_cut(*html_extract.graph(html_extract.blocks_of(page)))
         assert worth(label) == best
         assert html_extract.main_text(page) == "\n".join(b.text for b, keep in zip(blocks, label, strict=False) if keep)
+
+
+# Logs of chats, and the whole pipeline
+
+
+def plain_fold(log):
+    """Final messages of one conversation's events (seq, kind, message, role, text), one event after another."""
+    log = [(s, k, m, r, t or "") for s, k, m, r, t in log if k in ("message", "delta", "edit", "regenerate")]
+    started = {}
+    for s, _, m, _, _ in log:
+        if m is not None:
+            started[m] = min(s, started.get(m, s))
+    text, role, gone = {}, {}, set()
+    for s, k, m, r, t in sorted((e for e in log if e[2] is not None), key=lambda e: (e[0], e[1] == "delta", e[1], e[3] is not None, e[3] or "", e[4])):
+        text[m] = text.get(m, "") + t if k == "delta" else t
+        if r is not None:
+            role.setdefault(m, r)
+        if k == "regenerate":
+            gone |= {x for x, first in started.items() if started[m] < first <= s}
+    out = [(started[m], role.get(m), text[m]) for m in text if m not in gone]
+    return collections.Counter(out + [(s, r, t) for s, _, m, r, t in log if m is None])
+
+
+def test_random_logs_of_all_kinds_fold_as_in_plain_python(spark):
+    from vitals.llm import chat_format
+
+    rng, logs = random.Random(9), {}
+    for c in range(150):
+        log = []
+        for seq in range(rng.randint(1, 14)):
+            kind = rng.choice(["message", "delta", "delta", "delta", "edit", "regenerate", "noise"])
+            log.append((seq, kind, rng.choice([1, 2, 3, 4, None]), rng.choice(["user", "assistant", None]), rng.choice(["a", "bc", "", None, "<|im_end|>", "\\"])))
+        rng.shuffle(log)
+        logs[c] = log
+    events = spark.createDataFrame([(c, *e) for c, log in logs.items() for e in log], "conv_id long, seq long, kind string, message long, role string, text string")
+    got = collections.defaultdict(collections.Counter)
+    for r in chat_format.fold(events).collect():
+        got[r.conv_id][(r.start, r.role, r.text)] += 1
+    for c, log in logs.items():
+        want = plain_fold(log)
+        # events of several texts may set a message in one number; those logs have one event a number
+        assert got[c] == want, log
+
+
+def test_pipeline_against_plain_versions_of_its_stages(spark, tmp_path):
+    """Every stage's whole result from the one before: copies, near copies, budgets and pieces."""
+    import re
+
+    import duckdb
+    import tokenizers
+
+    import corpus_pipeline
+    from vitals.llm import oracles
+
+    rng, low = random.Random(10), {i: i + 32 for i in range(65, 91)}
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 7)))
+    texts = [" ".join(word() for _ in range(rng.randint(1, 60))) for _ in range(70)] + [None, "", " "]
+    texts += [t + "  " if t else t for t in texts[:6]] + [t.replace(" ", "\n") for t in texts[6:9]]
+    for t in texts[10:20]:
+        w = t.split()
+        texts.append(" ".join([*w[:-1], "changed"]))
+    table = [(i, t, "en", rng.choice(["a", "b", "c", None]), len(t or "")) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(table, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 0, 1) for i in range(40)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    step = lambda name, rows: [tuple(r) for r in stages[name](spark, spark.createDataFrame(rows, schema), str(tmp_path)).collect()]
+    by_id = lambda rows: sorted(rows, key=lambda r: r[0])
+    assert by_id(step("toxicity", table)) == table  # none is labelled toxic
+
+    same = {}
+    for r in table:
+        same.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or ""), r)
+    once = by_id(step("exact dedup", table))
+    assert once == by_id(same.values()) and len(once) < len(table)
+
+    sets = {}
+    for r in once:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (r[1] or "").translate(low))
+        sets[r[0]] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((group[a], group[b]))
+                group = {k: x if g == y else g for k, g in group.items()}
+    apart = by_id(step("n-gram jaccard join", once))
+    assert apart == [r for r in once if group[r[0]] == r[0]] and len(apart) < len(once)
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", apart)
+    names = ["doc_id", "size", "taken"]
+    want = collections.Counter({d: -(-taken // size) for d, size, taken in con.execute(f"SELECT {', '.join(names)} FROM ({oracles.OP6})").fetchall() if size and taken})
+    mixed = step("mixing sources", apart)
+    assert collections.Counter(r[0] for r in mixed if (r[1] or "").split()) == want and {r for r in mixed} <= set(apart)
+
+    encoder = tokenizers.Tokenizer.from_file(queries.tokenizer_path())
+    pieces = stages["packing"](spark, spark.createDataFrame(mixed, schema), str(tmp_path)).collect()
+    got, sequences = collections.Counter(), collections.Counter()
+    for r in pieces:
+        got[(r.doc_id, r.doc_tokens)] += r.length
+        sequences[r.sequence_id] += r.length
+    tokens = collections.Counter()
+    for r in mixed:
+        n = len(encoder.encode(r[1] or "", add_special_tokens=False).ids) + 1
+        tokens[(r[0], n)] += n
+    assert got == tokens and max(sequences.values()) <= 2048
