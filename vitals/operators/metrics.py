@@ -120,6 +120,11 @@ def rates(df: DataFrame, ts: str = "start_ts", width: str = "5 minutes", seconds
     )
 
 
+def windows_per_minute(windows: DataFrame, at: str) -> DataFrame:
+    """How many of ``windows`` were emitted in each minute, by the time ``at``; minutes without any have no row."""
+    return windows.groupBy(F.date_trunc("minute", F.col(at)).alias("minute")).agg(F.count("*").alias("windows"))
+
+
 #: Size of quantile sketches, and the rank error that one of that size keeps to, whatever it is merged from.
 SKETCH_K, SKETCH_ERROR = 800, 0.005
 

@@ -157,3 +157,28 @@ def st12_live(spark, sf):
         spark.streams.removeListener(listener)
     totals = progress.late_totals(listener.table().where(F.col("query") == name))
     return totals.select("input_rows", "late_rows", F.round("late_percent", 6).alias("late_percent"))
+
+
+@query("a26_windows_per_minute", """
+, w AS (SELECT user_id, data_type, date_trunc('hour', start_ts) AS hour, max(end_date) AS at_ms FROM samples GROUP BY 1, 2, 3)
+SELECT date_trunc('minute', make_timestamp(at_ms * 1000)) AS minute, count(*) AS windows FROM w GROUP BY 1""", "samples")
+def a26_windows(spark, sf):
+    """Hours of users and types by the minute in which their last sample ended."""
+    hours = v.samples(spark, sf).groupBy("user_id", "data_type", F.date_trunc("hour", "start_ts").alias("hour")).agg(F.timestamp_millis(F.max("end_date")).alias("at"))
+    return metrics.windows_per_minute(hours, "at").select(F.col("minute").cast("timestamp_ntz").alias("minute"), "windows")
+
+
+@query("s16_properties", """
+SELECT t.table_name, t.key, t.value, (SELECT count(*) FROM daily WHERE t.table_name = 'daily') AS n
+FROM (VALUES ('daily', 'parquet.compression', 'zstd'), ('daily', 'owner''s note', 'by user'), ('errors', 'parquet.compression', 'gzip')) t(table_name, key, value)""", "daily")
+def s16_properties(spark, sf):
+    """Tables with properties of their own: the file format's are met by the files, as their names tell."""
+    name = f"vitals_{uuid.uuid4().hex[:12]}"
+    columns = ("user_id long, aggregation_date date, avg_value double, data_type string", ["data_type"])
+    own = {"daily": {"parquet.compression": "zstd", "owner's note": "by user"}, "errors": {"parquet.compression": "gzip"}}
+    tables.create_tables(spark, name, {"daily": columns, "errors": columns}, v.work(spark, "properties"), own)
+    v.daily(spark, sf).select("user_id", "aggregation_date", "avg_value", "data_type").write.mode("append").insertInto(f"{name}.daily")
+    kept = F.col("key").isin(*{k for o in own.values() for k in o})
+    rows = [tables.table_properties(spark, name, t).where(kept) for t in own]
+    counts = [spark.table(f"{name}.{t}").where(F.col("_metadata.file_name").contains(own[t]["parquet.compression"])).agg(F.lit(t).alias("table_name"), F.count("*").alias("n")) for t in own]
+    return rows[0].unionByName(rows[1]).join(counts[0].unionByName(counts[1]), "table_name").select("table_name", "key", "value", "n")

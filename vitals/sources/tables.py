@@ -79,11 +79,22 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], part
     write_partitioned(spark.read.schema(new.schema).parquet(staging), path, partitions, "overwrite")
 
 
-def create_tables(spark: SparkSession, database: str, tables: dict[str, tuple[str, list[str]]], location: str | None = None) -> None:
-    """Creates what is missing of ``tables``: name to (DDL of the columns, partition columns), under ``location`` or the warehouse."""
+def create_tables(spark: SparkSession, database: str, tables: dict[str, tuple[str, list[str]]], location: str | None = None, properties: dict[str, dict[str, str]] | None = None) -> None:
+    """Creates what is missing of ``tables``: name to (DDL of the columns, partition columns), under ``location`` or the warehouse.
+
+    ``properties``: name to the table's properties; those of the file format hold for what is written to it by name.
+    """
+    text = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, (columns, partitions) in tables.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet PARTITIONED BY ({', '.join(partitions)})")
+        own = [(k, f"{text(k)} = {text(v)}") for k, v in (properties or {}).get(name, {}).items()]
+        of_format = ", ".join(p for k, p in own if k.startswith("parquet."))  # what writers read
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet" + (f" OPTIONS ({of_format})" if of_format else "") + f" PARTITIONED BY ({', '.join(partitions)})" + (f" TBLPROPERTIES ({', '.join(p for _, p in own)})" if own else ""))
+
+
+def table_properties(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """(table_name, key, value) of the properties of a table."""
+    return spark.sql(f"SHOW TBLPROPERTIES {database}.{table}").select(F.lit(table).alias("table_name"), "key", "value")
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
