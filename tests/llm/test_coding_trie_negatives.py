@@ -417,3 +417,41 @@ def test_pipeline_against_plain_versions_of_its_stages(spark, tmp_path):
         n = len(encoder.encode(r[1] or "", add_special_tokens=False).ids) + 1
         tokens[(r[0], n)] += n
     assert got == tokens and max(sequences.values()) <= 2048
+
+
+# Nearest neighbours
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_the_ratio_selects_lists_and_keeps_recall(spark, monkeypatch, given):
+    """200 lists, of the given vectors, which have no structure, and of some with fewer dimensions: queries visit different numbers of lists and find nine of ten neighbours."""
+    import pyarrow as pa
+
+    from vitals.llm import ann
+
+    if given:
+        table = queries.table(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding")
+        x = np.array(table.orderBy("vec_id").toPandas().embedding.tolist(), float)
+    else:
+        x = np.random.default_rng(11).normal(size=(20_000, 16))
+        table = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 16).cast(pa.list_(pa.float64()))}))
+    step, visited, listed = len(x) // 200, [], ann._listed
+
+    def spy(rows, index, ratio, most, tag, *more):
+        out = listed(rows, index, ratio, most, tag, *more)
+        if most is None:
+            visited.extend(len(r.lists) / len(index.centroids) for r in out.select("lists").collect())
+            assert len(index.centroids) >= 200
+        return out
+
+    monkeypatch.setattr(ann, "_listed", spy)
+    got = collections.defaultdict(set)
+    for r in ann.search(table, F.col("vec_id") % step == 0, list_size=step).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = 0
+    for q in range(0, len(x), step):
+        far = ((x - x[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hit += len(got[q] & set(np.argsort(far, kind="stable")[:10].tolist()))
+    assert hit >= 0.9 * 10 * len(got) and len(got) == 200
+    assert len(set(visited)) > 5 and np.mean(visited) < (0.7 if given else 1 / 3)
