@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,27 +28,29 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-#: Folders written inside the innermost ``scratch``.
-_scratches: list[list[str]] = []
+#: Folders written inside each open ``scratch``, the innermost last. A thread has its own, so jobs of two threads keep apart.
+_scratches: ContextVar[tuple[list[str], ...]] = ContextVar("scratches", default=())
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder. It cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _scratches:
-        _scratches[-1].append(path)
+    for paths in _scratches.get()[-1:]:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Deletes at its end what ``written`` wrote inside. What is returned from inside has to be written elsewhere before."""
-    _scratches.append([])
+    before, paths = _scratches.get(), []
+    _scratches.set((*before, paths))
     try:
         yield
     finally:
-        for path in _scratches.pop():
+        _scratches.set(before)
+        for path in paths:
             hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
@@ -55,8 +58,9 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 def outside(df: DataFrame, tag: str) -> DataFrame:
     """As ``written``, but kept when the ``scratch`` around it ends."""
     out = written(df, tag)
-    if _scratches:
-        (_scratches[-2] if len(_scratches) > 1 else []).append(_scratches[-1].pop())
+    within = _scratches.get()
+    if within:
+        (within[-2] if len(within) > 1 else []).append(within[-1].pop())
     return out
 
 
