@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,14 +27,38 @@ def required(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: list[str], mode: str = "append", records_per_file: int = 0, cluster: list[str] | None = None) -> None:
-    """Appends, or replaces only the partitions that ``df`` holds. Rows of a partition are gathered and large ones split by AQE before the write."""
-    out = df.hint("rebalance", *partitions)
+    """Appends, or replaces only the partitions that ``df`` holds. Rows of a partition are gathered and large ones split by AQE before the write.
+
+    With ``records_per_file`` a large partition is dealt to tasks in whole files, so at most one file of a partition is short.
+    """
+    out = dealt(df, partitions, records_per_file) if records_per_file else df.hint("rebalance", *partitions)
     if cluster:
         out = out.sortWithinPartitions(*partitions, *cluster)
     writer = out.write.mode(mode).partitionBy(*partitions).option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
     (writer.option("maxRecordsPerFile", records_per_file) if records_per_file else writer).parquet(path)
 
 
+#: Rows that ``dealt`` gives to a task at a time, about.
+DEAL = 100_000
+
+
+def dealt(df: DataFrame, partitions: list[str], records: int) -> DataFrame:
+    """``df`` with each partition's rows in deals of whole files of ``records`` rows; the last deal holds the rest.
+
+    Rows are numbered in the tasks that read them, behind the numbers of the tasks before, which a row for each task and
+    partition gives. Should a task that is run again meet other rows, files differ in size and no row is lost.
+    """
+    deal = records * max(1, DEAL // records)
+    rows = df.withColumns({"__task": F.spark_partition_id(), "__i": F.monotonically_increasing_id()})
+    ahead = Window.partitionBy(*partitions).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*partitions, "__task").agg(F.count("*").alias("__n"))
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(ahead), F.lit(0))).drop("__n")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"n.{c}")) for c in [*partitions, "__task"]]
+    rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy(*partitions, "__task").orderBy("__i")) - 1)
+    numbered = rows.alias("r").join(F.broadcast(counts.alias("n")), same, "left").select("r.*", F.floor((F.col("__i") + F.coalesce("__before", F.lit(0))) / deal).alias("__deal"))
+    return numbered.repartition(*partitions, "__deal").drop("__task", "__i", "__deal")
+
+
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     write_partitioned(df.withColumn("start_day", F.to_date(F.timestamp_millis("start_date"))), path, RAW_PARTITIONS, mode, cluster=["user_id"])
 
