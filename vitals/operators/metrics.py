@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,18 +23,27 @@ def throughput(df: DataFrame, ts: str = "start_ts", width: str = "5 minutes", *k
 
 
 def latency(df: DataFrame, column: str, *keys: str) -> DataFrame:
-    """Distribution of latencies from 0; percentiles are approximate."""
-    p = F.percentile_approx(column, [0.5, 0.95, 0.99], 10000)
-    rows = df.where(F.col(column) >= 0).groupBy(*keys).agg(F.count("*").alias("n"), F.min(column).alias("least"), F.avg(column).alias("mean"), F.max(column).alias("most"), p.alias("p"))
-    return rows.select(*keys, "n", "least", "mean", "most", F.get("p", F.lit(0)).alias("p50"), F.get("p", F.lit(1)).alias("p95"), F.get("p", F.lit(2)).alias("p99"))
+    """Distribution of latencies from 0, with exact percentiles by nearest rank."""
+    rows = df.where(F.col(column) >= 0)
+    stats = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(column).alias("least"), F.avg(column).alias("mean"), F.max(column).alias("most"))
+    return with_percentiles(stats, rows, column, list(keys), {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+
+
+def with_percentiles(stats: DataFrame, rows: DataFrame, column: str, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """``stats`` (a row for each of ``keys``) with the exact percentiles of ``rows`` by nearest rank; null where a key has no values."""
+    cuts = exact_percentiles(rows, column, keys, shares, nearest=True)
+    if not keys:
+        return stats.crossJoin(cuts)
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    return stats.alias("s").join(cuts.alias("c"), same, "left").select("s.*", *shares)
 
 
 #: Values of a range of ``exact_percentiles``, about; up to so many in all are sorted by key at once.
 RANGE = 500_000
 
 
-def exact_percentiles(df: DataFrame, column: str, keys: list[str], shares: dict[str, float], parts: int | None = None) -> DataFrame:
-    """Values at index min(floor(n q), n - 1) of each key's sorted values.
+def exact_percentiles(df: DataFrame, column: str, keys: list[str], shares: dict[str, float], parts: int | None = None, nearest: bool = False) -> DataFrame:
+    """Values at index min(floor(n q), n - 1) of each key's sorted values, or with ``nearest`` at the nearest rank, ceil(n q) from 1.
 
     Equal values are counted first. A key's distinct values are cut into about ``parts`` ranges at approximate quantiles,
     which are merged from sketches; sums by range tell which ranges hold the wanted ranks, and only those are sorted. So
@@ -40,21 +51,23 @@ def exact_percentiles(df: DataFrame, column: str, keys: list[str], shares: dict[
     are counted; where all fit in one range, each key's are sorted without cutting.
     """
     names = [*keys, column]
+    if nearest:  # in decimals: a share such as 0.95 is no sum of powers of two
+        at = lambda q: F.greatest(F.lit(1), F.ceil(F.col("__all").cast("decimal(20,0)") * F.lit(Decimal(str(q)))))
+    else:
+        at = lambda q: F.least(F.floor(F.col("__all") * q), F.col("__all") - 1) + 1
     values = df.where(F.col(column).isNotNull()).groupBy(*names).agg(F.count("*").alias("__n"))
     if parts is None:
         parts = min(4096, -(-df.where(F.col(column).isNotNull()).count() // RANGE))
     if parts <= 1:
         w = Window.partitionBy(*keys)
         rows = values.withColumns({"__upto": F.sum("__n").over(w.orderBy(column)), "__all": F.sum("__n").over(w)})
-        wanted = lambda q: F.least(F.floor(F.col("__all") * q), F.col("__all") - 1) + 1
-        return rows.groupBy(*keys).agg(*[F.min(F.when(F.col("__upto") >= wanted(q), F.col(column))).alias(name) for name, q in shares.items()])
+        return rows.groupBy(*keys).agg(*[F.min(F.when(F.col("__upto") >= at(q), F.col(column))).alias(name) for name, q in shares.items()])
     cuts = values.groupBy(*keys).agg(F.percentile_approx(column, [i / parts for i in range(1, parts)], 20 * parts).alias("__cuts"))
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
     ranged = values.alias("v").join(cuts.alias("c"), same("v", "c")).select(*[f"v.{c}" for c in names], "__n", F.size(F.filter("__cuts", lambda x: x < F.col(column))).alias("__range"))
     sums = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__size"))
     w = Window.partitionBy(*keys)
     sums = sums.withColumns({"__before": F.sum("__size").over(w.orderBy("__range")) - F.col("__size"), "__all": F.sum("__size").over(w)})
-    at = lambda q: F.least(F.floor(F.col("__all") * q), F.col("__all") - 1) + 1
     holds = F.lit(False)
     for q in shares.values():
         holds = holds | ((F.col("__before") < at(q)) & (at(q) <= F.col("__before") + F.col("__size")))

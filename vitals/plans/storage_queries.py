@@ -297,7 +297,9 @@ SELECT window_start, alert, round(CAST(value AS DOUBLE), 6) AS value FROM m WHER
 def q12(spark, sf):
     from .registry import checked
 
-    g = checked(spark, sf).groupBy(F.window("start_ts", "1 hour").alias("w")).agg(F.count("*").alias("n"), F.count("reject_reason").alias("bad"), F.percentile_approx(F.col("end_date") - F.col("start_date"), 0.95, 10000).alias("p"), F.max("end_date").alias("last"))
+    rows = checked(spark, sf).select(F.window("start_ts", "1 hour").alias("w"), "reject_reason", "end_date", (F.col("end_date") - F.col("start_date")).alias("latency_ms"))
+    g = rows.groupBy("w").agg(F.count("*").alias("n"), F.count("reject_reason").alias("bad"), F.max("end_date").alias("last"))
+    g = metrics.with_percentiles(g, rows, "latency_ms", ["w"], {"p": 0.95})
     values = {"error_rate": F.col("bad") / 3600, "failure_share": F.col("bad") / F.col("n"), "p95_latency_ms": F.col("p"), "throughput": F.col("n") / 3600, "write_failures": F.col("bad"), "window_latency_ms": F.col("last") - F.unix_millis("w.end")}
     pairs = [x for k, c in values.items() for x in (F.lit(k), c.cast("double"))]
     rows = g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.explode(F.create_map(*pairs)).alias("metric", "value"))
