@@ -36,9 +36,11 @@ def z_scores_joined(daily: DataFrame, least: float = 3.0) -> DataFrame:
 
 
 def compare_windows(fixed: DataFrame, calendar: DataFrame, least: float = 1.0) -> DataFrame:
+    """Days whose means by both windows are more than ``least`` apart. A distance that is ``least`` but for the rounding of sums, which depends on their order, isn't more."""
     keys = ["user_id", "data_type", "aggregation_date"]
     rows = fixed.select(*keys, F.col("avg_value").alias("fixed_avg")).join(calendar.select(*keys, F.col("avg_value").alias("calendar_avg")), keys)
-    return rows.withColumn("diff", F.abs(F.col("fixed_avg") - F.col("calendar_avg"))).where(F.col("diff") > least)
+    rounding = F.greatest(F.lit(1.0), F.abs("fixed_avg"), F.abs("calendar_avg")) * 1e-12
+    return rows.withColumn("diff", F.abs(F.col("fixed_avg") - F.col("calendar_avg"))).where(F.col("diff") > least + rounding)
 
 
 def zone_as_of(samples: DataFrame, profiles: DataFrame) -> DataFrame:
