@@ -58,6 +58,11 @@ def decoded(stream: DataFrame, now_ms: Column) -> tuple[DataFrame, DataFrame]:
     return flat, error_records(bad, "DESERIALIZATION_ERROR", now_ms, "reason")
 
 
+def spread(batch: DataFrame) -> DataFrame:
+    """``batch`` dealt evenly to the tasks of a shuffle: a file of few row groups would else be decoded, kept and sorted by as few tasks."""
+    return batch.repartition(int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool = False, payloads: bool = False, now_ms: Column | None = None, partial_sums: bool = False, clocks: SourceClocks | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function. A batch that is run again writes the same: raw and error rows are stored by batch id, windows are recomputed and upserted.
 
@@ -69,6 +74,7 @@ def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool =
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, seen = batch.sparkSession, Observation(f"batch-{batch_id}")
+        batch = spread(batch).persist() if payloads else spread(batch)  # kept: a filter behind would be moved before the deal, and the decoding with it
         flat, unreadable = decoded(batch, now) if payloads else (batch, None)
         rows = timed(flat).persist()
         try:
@@ -106,6 +112,8 @@ def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool =
             table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/metrics")
         finally:
             rows.unpersist()
+            if payloads:
+                batch.unpersist()
 
     return write
 
