@@ -180,3 +180,31 @@ def kept_users(sketches: DataFrame, at: str, after: Column, *keys: str) -> DataF
     rows = sketches.withColumn("__next", after).alias("s").join(later.alias("l"), [*same, F.col("__next") == F.col("__at")])
     both = F.theta_sketch_estimate(F.theta_intersection(F.col("s.users"), F.col("__users")))
     return rows.select(*[f"s.{k}" for k in keys], at, user_count("s.users").alias("users"), F.theta_sketch_estimate("__users").alias("next_users"), both.alias("kept"))
+
+
+def user_bitmaps(df: DataFrame, user: str, *keys: Column | str) -> DataFrame:
+    """The exact set of the distinct users (whole numbers) of each of ``keys``: bitmaps (bucket, users) of 32,768 neighbouring numbers, of 4 kilobytes each. Null users don't count."""
+    rows = df.where(F.col(user).isNotNull())
+    return rows.groupBy(*keys, F.bitmap_bucket_number(F.col(user)).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(user))).alias("users"))
+
+
+def united_bitmaps(bitmaps: DataFrame, *keys: Column | str) -> DataFrame:
+    """The users of coarser keys, from the stored bitmaps alone."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("users").alias("users"))
+
+
+def counted_bitmaps(bitmaps: DataFrame, *keys: Column | str) -> DataFrame:
+    """``users``: how many users each of ``keys`` has, from bitmaps of the same keys."""
+    return bitmaps.groupBy(*keys).agg(F.sum(F.bitmap_count("users")).alias("users"))
+
+
+def kept_in_bitmaps(bitmaps: DataFrame, at: str, after: Column, *keys: str) -> DataFrame:
+    """``kept_users`` from bitmaps, exactly."""
+    sizes = counted_bitmaps(bitmaps, *keys, at)
+    later = lambda df: df.withColumnsRenamed({at: "__at", "users": "__users"})
+    paired = lambda df, *more: df.withColumn("__at", after).join(later(df), [*keys, "__at", *more])
+    shared = paired(bitmaps, "bucket").select(*keys, at, "bucket", F.explode(F.array("users", "__users")).alias("users"))
+    shared = shared.groupBy(*keys, at, "bucket").agg(F.bitmap_and_agg("users").alias("users"))
+    kept = counted_bitmaps(shared, *keys, at).withColumnRenamed("users", "kept")
+    rows = paired(sizes).select(*keys, at, "users", F.col("__users").alias("next_users"))
+    return rows.join(kept, [*keys, at], "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
