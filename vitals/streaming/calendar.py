@@ -160,40 +160,50 @@ def without_redelivered(stream: DataFrame, delay: str = DELAY) -> DataFrame:
 
 
 class Repeats(StatefulProcessor):
-    """Rows whose id hasn't come within the lifetime of the ids kept; an id's lifetime starts anew with each row that passes."""
+    """Rows whose id hasn't come within the lifetime of the ids kept; an id's lifetime starts anew with each row that passes.
+
+    The ids of a slot lie in one value with the times they passed, so calls grow with slots and batches, not with rows.
+    """
 
     def __init__(self, key: str, lifetime_ms: int) -> None:
         self.key, self.lifetime_ms = key, lifetime_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "id string", "at long", ttlDurationMs=self.lifetime_ms)
+        self.seen = handle.getValueState("seen", "ids array<string>, times array<long>", ttlDurationMs=self.lifetime_ms)  # the last that passed outlives the others
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        here: set[str] = set()
+        now = timerValues.getCurrentProcessingTimeInMs()
+        before = zip(*self.seen.get(), strict=True) if self.seen.exists() else ()
+        kept = {i: at for i, at in before if at + self.lifetime_ms > now}
+        known = len(kept)
         for part in rows:
             fresh = []
             for i in part[self.key].astype(str):
-                new = i not in here and not self.seen.containsKey((i,))
-                if new:
-                    self.seen.updateValue((i,), (0,))
-                here.add(i)
-                fresh.append(new)
-            yield part[fresh].drop(columns="__bucket", errors="ignore")
+                fresh.append(i not in kept)
+                kept.setdefault(i, now)
+            yield part[fresh].drop(columns=["__bucket", "__slot"], errors="ignore")
+        if len(kept) > known:
+            self.seen.update((list(kept), list(kept.values())))
 
     def close(self) -> None:
         pass
 
 
+#: Values that hold the ids of a bucket.
+SLOTS = 1024
+
+
 def without_repeats(stream: DataFrame, key: str = "sample_id", lifetime: str = "48 hours", buckets: int = 64) -> DataFrame:
     """One row of each ``key`` within a ``lifetime`` in processing time, whatever the event times are.
 
-    Ids are kept in map states of ``buckets`` groups by hash, so no group is hot, and expire by themselves. Rows without
+    Ids are kept in ``buckets`` times ``SLOTS`` groups by hash, so no group is hot, and expire by themselves. Rows without
     the key are one id. Needs the RocksDB state store. Such state asks for one more batch without end, so an availableNow
     trigger does not come to its end with it: take an interval or a single batch.
     """
-    rows = stream.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    hashed = F.xxhash64(key)
+    own = {"__bucket": F.pmod(hashed, F.lit(buckets)).cast("int"), "__slot": F.pmod(F.xxhash64(hashed), F.lit(SLOTS)).cast("int")}
     lifetime_ms = int(pd.Timedelta(lifetime).total_seconds() * 1000)
-    return rows.groupBy("__bucket").transformWithStateInPandas(Repeats(key, lifetime_ms), stream.schema, "append", "ProcessingTime")
+    return stream.withColumns(own).groupBy("__bucket", "__slot").transformWithStateInPandas(Repeats(key, lifetime_ms), stream.schema, "append", "ProcessingTime")
 
 
 def rocksdb(spark: SparkSession) -> None:
