@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.times import Window, days_in_month, iso_week, iso_year, local_window, utc_window
@@ -36,15 +36,24 @@ def _keys(window: Window, kind: str) -> list[Column]:
     return [F.year(window.first_date).alias("year"), F.month(window.first_date).alias("month"), keys[0].alias("month_start_date"), keys[1].alias("month_end_date"), days_in_month(window.first_date).alias("days_in_month"), *keys[2:]]
 
 
-def calendar_aggregate(df: DataFrame, kind: str) -> DataFrame:
-    """One row for each user, type, zone and local day, ISO week or month of ``df`` (user_id, data_type, timezone, start_ts, sample_id, value). One shuffle, after partial sums."""
+def calendar_aggregate(df: DataFrame, kind: str, touched: str | None = None) -> DataFrame:
+    """One row for each user, type, zone and local day, ISO week or month of ``df`` (user_id, data_type, timezone, start_ts, sample_id, value). One shuffle, after partial sums.
+
+    With ``touched``, a boolean column, only windows that have a row where it is true.
+    """
     keys = _keys(local_window(F.col("start_ts"), F.col("timezone"), kind), kind)
-    return df.groupBy("user_id", "data_type", "timezone", *keys).agg(*statistics())
+    return _touched(df.groupBy("user_id", "data_type", "timezone", *keys), touched)
 
 
-def fixed_aggregate(df: DataFrame, kind: str, aligned: bool = True) -> DataFrame:
+def fixed_aggregate(df: DataFrame, kind: str, aligned: bool = True, touched: str | None = None) -> DataFrame:
     """The same by fixed UTC windows of 1, 7 or 30 days."""
-    return df.groupBy("user_id", "data_type", *_keys(utc_window(F.col("start_ts"), kind, aligned), kind)).agg(*statistics())
+    return _touched(df.groupBy("user_id", "data_type", *_keys(utc_window(F.col("start_ts"), kind, aligned), kind)), touched)
+
+
+def _touched(groups: GroupedData, touched: str | None) -> DataFrame:
+    if touched is None:
+        return groups.agg(*statistics())
+    return groups.agg(*statistics(), F.max(touched).alias("__touched")).where("__touched").drop("__touched")
 
 
 def partials(df: DataFrame, keys: list[Column | str]) -> DataFrame:

@@ -89,18 +89,21 @@ def newest(df: DataFrame, keys: list[str], version: str = "updated_at") -> DataF
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row")).select(*keys, "__row.*").select(*df.columns)
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partitions: list[str], staging: str, version: str = "updated_at") -> None:
+def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partitions: list[str], staging: str | None = None, version: str = "updated_at") -> None:
     """Replaces rows of the same key in the partitions that ``new`` touches.
 
-    The merged partitions are written to ``staging`` first, then swapped in by a dynamic overwrite: a failed attempt leaves
-    the table as it was and can be repeated.
+    The merged partitions are written beside the old ones and take their places when all are there: a failed attempt leaves
+    the table as it was and can be repeated. With ``staging`` they are written there first, and stay there.
     """
     merged = new
     if stored(spark, path):
         touched = new.select(*partitions).distinct()
         merged = spark.read.schema(new.schema).parquet(path).join(touched, partitions, "left_semi").unionByName(new)
-    newest(merged, keys, version).write.mode("overwrite").parquet(staging)
-    write_partitioned(spark.read.schema(new.schema).parquet(staging), path, partitions, "overwrite")
+    merged = newest(merged, keys, version)
+    if staging:
+        merged.write.mode("overwrite").parquet(staging)
+        merged = spark.read.schema(new.schema).parquet(staging)
+    write_partitioned(merged, path, partitions, "overwrite")
 
 
 def create_tables(spark: SparkSession, database: str, tables: dict[str, tuple[str, list[str]]], location: str | None = None, properties: dict[str, dict[str, str]] | None = None) -> None:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.times import local_window
-from ..operators.aggregate import calendar_aggregate, statistics
+from ..operators.aggregate import statistics
 from ..sources.tables import newest
 
 #: Watermark delay and allowed lateness by kind.
@@ -138,20 +138,18 @@ def closing_windows(stream: DataFrame, kind: str, delay: str | None = None) -> D
     return windows.where("count > 0").select(*[c.split()[0] for c in OUTPUT.split(", ")])
 
 
-def touched_days(batch: DataFrame, kind: str) -> DataFrame:
-    """(start_day): the UTC days that can hold rows of the windows that ``batch`` touches: at most a row for each day there is."""
-    w = local_window(F.col("start_ts"), F.col("timezone"), kind)
-    spans = batch.select(F.date_sub(w.first_date, 1).alias("low"), F.date_add(w.last_date, 1).alias("high")).distinct()
-    return spans.select(F.explode(F.sequence("low", "high")).alias("start_day")).distinct()
+def touched_days(batch: DataFrame, *kinds: str) -> DataFrame:
+    """(start_day): the UTC days that can hold rows of the windows of ``kinds`` that ``batch`` touches: at most a row for each day there is."""
+    days = batch.select(local_window(F.col("start_ts"), F.col("timezone"), "daily").first_date.alias("day")).distinct()
+    windows = [local_window(F.col("day").cast("timestamp"), F.lit("UTC"), k) for k in kinds]
+    spans = F.array(*[F.sequence(F.date_sub(w.first_date, 1), F.date_add(w.last_date, 1)) for w in windows])
+    return days.select(F.explode(F.flatten(spans)).alias("start_day")).distinct()
 
 
-def recompute_touched(batch: DataFrame, raw: DataFrame, kind: str) -> DataFrame:
-    """Aggregates of the windows that ``batch`` touches, from all of ``raw``: right for late data of any age, and repeatable."""
-    w = local_window(F.col("start_ts"), F.col("timezone"), kind)
-    keys = ["user_id", "data_type", "timezone", "__start"]
-    touched = batch.withColumn("__start", w.start_ms).select(*keys).distinct()
-    rows = raw.withColumn("__start", w.start_ms).join(touched, keys, "left_semi").drop("__start")
-    return calendar_aggregate(rows, kind)
+def once_each(raw: DataFrame, fresh: Column) -> DataFrame:
+    """One row of each sample id of ``raw`` with what statistics need, and ``fresh``: whether ``fresh`` holds for any of its rows."""
+    columns = ["user_id", "data_type", "timezone", "start_ts", "value"]
+    return raw.groupBy("sample_id").agg(*[F.first(c).alias(c) for c in columns], F.max(fresh).alias("fresh"))
 
 
 def without_redelivered(stream: DataFrame, delay: str = DELAY) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.times import iso_to_millis, utc_window, with_zone
+from ..functions.times import iso_to_millis, with_zone
 from ..operators.aggregate import calendar_aggregate, fixed_aggregate
 from ..operators.ingest import filled, flatten, sanitise
 from ..operators.validate import error_records, split, validate_light
@@ -16,7 +16,7 @@ from ..schemas import ERROR
 from ..sources.payloads import decode_wire, parse_json_body
 from ..sources.tables import drift, fields, gate, stored, upsert, write_errors, write_partitioned
 from . import partials as parts
-from .calendar import recompute_touched, touched_days
+from .calendar import once_each, touched_days
 from .clocks import SourceClocks
 
 BRANCHES = ("daily", "weekly", "monthly")
@@ -38,23 +38,31 @@ def timed(df: DataFrame) -> DataFrame:
     return rows.withColumn("reject_reason", F.coalesce("reject_reason", F.when(~F.coalesce(F.unix_millis("start_ts") > 0, F.lit(False)), "invalid_timestamp")))
 
 
-def _parsed(stream: DataFrame) -> DataFrame:
-    return parse_json_body(decode_wire(stream)).withColumn("fault", F.coalesce("wire_error", F.when(F.coalesce("payload.userId", "payload.deviceId").isNull(), "DESERIALIZATION_ERROR")))
+def parsed(stream: DataFrame) -> DataFrame:
+    """Framed messages (value) as sanitised payloads with a ``fault``, and the ``value`` of those that have one.
+
+    Kept, a batch's JSON is read and cleaned once; behind filters both would be done again for each that names a field.
+    """
+    rows = parse_json_body(decode_wire(stream)).withColumn("fault", F.coalesce("wire_error", F.when(F.coalesce("payload.userId", "payload.deviceId").isNull(), "DESERIALIZATION_ERROR")))
+    return sanitise(rows.select("payload.*", "fault", F.when(F.col("fault").isNotNull(), F.col("value")).alias("value")))
 
 
-def message_counts(stream: DataFrame) -> DataFrame:
-    """One row for framed payloads (value): messages, unreadable, dropped_payloads (readable ones without both ids and a time, or without samples), samples (of the others)."""
-    sound = filled(F.col("payload.userId")) & filled(F.col("payload.deviceId")) & iso_to_millis(F.col("payload.timestamp")).isNotNull() & (F.size("payload.samples") > 0)
-    rows = _parsed(stream).select("fault", F.coalesce(sound, F.lit(False)).alias("sound"), F.size("payload.samples").alias("n"))
+def message_counts(messages: DataFrame) -> DataFrame:
+    """One row for ``parsed`` messages: messages, unreadable, dropped_payloads (readable ones without both ids and a time, or without samples), samples (of the others)."""
+    sound = filled(F.col("userId")) & filled(F.col("deviceId")) & iso_to_millis(F.col("timestamp")).isNotNull() & (F.size("samples") > 0)
+    rows = messages.select("fault", F.coalesce(sound, F.lit(False)).alias("sound"), F.size("samples").alias("n"))
     return rows.agg(F.count("*").alias("messages"), F.count("fault").alias("unreadable"), F.count_if(F.col("fault").isNull() & ~F.col("sound")).alias("dropped_payloads"), F.coalesce(F.sum(F.when(F.col("fault").isNull() & F.col("sound"), F.col("n"))), F.lit(0)).alias("samples"))
 
 
 def decoded(stream: DataFrame, now_ms: Column) -> tuple[DataFrame, DataFrame]:
     """Measurements with ``start_ts`` of framed payloads (value), and error rows of the messages that can't be read."""
-    rows = _parsed(stream)
-    payloads = sanitise(rows.where("fault is null").select("payload.*"))
-    flat = flatten(payloads, now_ms).withColumn("start_ts", F.timestamp_millis("start_date"))
-    bad = rows.where("fault is not null").select(F.hex("value").alias("message"), F.lit("message can't be read").alias("reason"))
+    return measured(parsed(stream), now_ms)
+
+
+def measured(messages: DataFrame, now_ms: Column) -> tuple[DataFrame, DataFrame]:
+    """The same of ``parsed`` messages."""
+    flat = flatten(messages.where("fault is null"), now_ms).withColumn("start_ts", F.timestamp_millis("start_date"))
+    bad = messages.where("fault is not null").select(F.hex("value").alias("message"), F.lit("message can't be read").alias("reason"))
     return flat, error_records(bad, "DESERIALIZATION_ERROR", now_ms, "reason")
 
 
@@ -74,9 +82,9 @@ def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool =
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, seen = batch.sparkSession, Observation(f"batch-{batch_id}")
-        batch = spread(batch).persist() if payloads else spread(batch)  # kept: a filter behind would be moved before the deal, and the decoding with it
-        flat, unreadable = decoded(batch, now) if payloads else (batch, None)
-        rows = timed(flat).persist()
+        batch = parsed(spread(batch)).persist() if payloads else spread(batch)  # kept: a filter behind would be moved before the deal, and the decoding with it
+        flat, unreadable = measured(batch, now) if payloads else (batch, None)
+        rows, near = timed(flat).persist(), None
         try:
             good, bad = split(rows)
             in_batch = lambda df: df.withColumn("batch", F.lit(batch_id))
@@ -86,8 +94,6 @@ def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool =
             errors = error_records(bad, "VALIDATION_ERROR", now)
             errors = errors if unreadable is None else errors.unionByName(unreadable)
             write_errors(in_batch(errors), f"{root}/errors", "overwrite", more=["batch"])
-            raw = spark.read.schema(f"{batch_schema(good)}, start_day date, batch long").parquet(f"{root}/raw").drop("batch")
-            near = lambda days: raw.join(F.broadcast(days), "start_day", "left_semi").drop("start_day").dropDuplicates(["sample_id"])
             upserts = 0
             if clocks is not None:
                 event = F.unix_millis("start_ts")
@@ -95,25 +101,28 @@ def batch_writer(root: str, branches: tuple[str, ...] = BRANCHES, fixed: bool =
             once = good.dropDuplicates(["sample_id"])
             if partial_sums and branches:
                 parts.write_delta(once, f"{root}/partials", batch_id)
+            kinds = (() if partial_sums else branches) + (("daily",) if fixed else ())
+            if kinds:
+                raw = spark.read.schema(f"{batch_schema(good)}, start_day date, batch long").parquet(f"{root}/raw")
+                near = once_each(raw.join(F.broadcast(touched_days(good, *kinds)), "start_day", "left_semi"), F.col("batch") == batch_id).persist()  # for all branches
             ids = {"user": dict(good.dtypes)["user_id"], "sample": dict(good.dtypes)["sample_id"]}
             for kind in branches:
-                new = parts.touched(spark, f"{root}/partials", once, kind, **ids) if partial_sums else recompute_touched(good, near(touched_days(good, kind)), kind)
+                new = parts.touched(spark, f"{root}/partials", once, kind, **ids) if partial_sums else calendar_aggregate(near, kind, "fresh")
                 new = new.withColumn("updated_at", F.lit(batch_id).cast("long")).persist()
                 upserts += new.count()
-                upsert(spark, f"{root}/{kind}", new, KEY[kind], PARTITION[kind], f"{root}/staging-{kind}")
+                upsert(spark, f"{root}/{kind}", new, KEY[kind], PARTITION[kind])
                 new.unpersist()
             if fixed:
-                days = good.select(utc_window(F.col("start_ts"), "daily").first_date.alias("start_day")).distinct()
-                new = fixed_aggregate(near(days), "daily").withColumn("updated_at", F.lit(batch_id).cast("long"))
-                upsert(spark, f"{root}/fixed", new, ["user_id", "data_type", "aggregation_date"], ["data_type", "aggregation_date"], f"{root}/staging-fixed")
+                new = fixed_aggregate(near, "daily", touched="fresh").withColumn("updated_at", F.lit(batch_id).cast("long"))
+                upsert(spark, f"{root}/fixed", new, ["user_id", "data_type", "aggregation_date"], ["data_type", "aggregation_date"])
             sent = message_counts(batch).first().asDict() if payloads else {"unreadable": 0, "dropped_payloads": 0, "samples": seen.get["records"]}
             counts = (batch_id, seen.get["records"] + sent["unreadable"], seen.get["errors"] + sent["unreadable"], upserts, sent["dropped_payloads"], sent["samples"] - seen.get["records"])
             table = spark.createDataFrame([counts], METRICS)
             table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/metrics")
         finally:
-            rows.unpersist()
-            if payloads:
-                batch.unpersist()
+            for kept in (rows, near, batch if payloads else None):
+                if kept is not None:
+                    kept.unpersist()
 
     return write
 
