@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as Over
 
 from ..functions.times import Window, days_in_month, iso_week, iso_year, local_window, utc_window
 
@@ -66,12 +67,15 @@ def partials(df: DataFrame, keys: list[Column | str]) -> DataFrame:
 
 
 def merged(parts: DataFrame, keys: list[Column | str]) -> DataFrame:
-    """Parts of coarser keys. Squares are taken around the merged mean, which a first aggregate gives, so that nothing cancels."""
+    """Parts of coarser keys. Squares are taken around the merged mean, so that nothing cancels.
+
+    One shuffle by key, or none if ``parts`` lie by some of the keys: a key's parts meet in one task, as many as it has
+    finer keys and batches, however many rows are behind them.
+    """
     parts = parts.select(*keys, *PARTIALS, "rows")
     names = parts.columns[: -len(PARTIALS) - 1]
-    means = parts.groupBy(*names).agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("__mean"))
-    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"m.{c}")) for c in names]
-    rows = parts.alias("p").join(means.alias("m"), same).select("p.*", "__mean")
+    key = Over.partitionBy(*names)
+    rows = parts.withColumn("__mean", F.try_divide(F.sum(F.col("n") * F.col("mean")).over(key), F.sum("n").over(key)))
     apart = F.col("mean") - F.col("__mean")
     plain = [f(c).alias(c) for f, c in ((F.sum, "n"), (F.sum, "total"), (F.min, "low"), (F.max, "high"), (F.min, "first"), (F.max, "last"), (F.sum, "rows"))]
     return rows.groupBy(*names).agg(*plain, F.max("__mean").alias("mean"), F.sum(F.col("m2") + F.col("n") * apart * apart).alias("m2"))

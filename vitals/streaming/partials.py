@@ -82,7 +82,11 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 
 def windows(parts: DataFrame, kind: str) -> DataFrame:
-    """Statistics by local day, ISO week or month from ``parts``, the same columns as ``aggregate.calendar_aggregate`` gives."""
+    """Statistics by local day, ISO week or month from ``parts``, the same columns as ``aggregate.calendar_aggregate`` gives.
+
+    Parts are dealt by user, type and zone, so the kinds of one query share a shuffle.
+    """
+    parts = parts.repartition(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "user_id", "data_type", "timezone")
     at = F.to_utc_timestamp(F.col("day").cast("timestamp"), F.col("timezone"))
     return finished(merged(parts, ["user_id", "data_type", "timezone", *_keys(local_window(at, F.col("timezone"), kind), kind)]))
 
